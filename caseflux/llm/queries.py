@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflux.llm import components, incremental, neardup
+from caseflux.llm import components, encoding, fusion, incremental, leakage, names, neardup, packing, quality
 from caseflux.session import Workspace
 from caseflux.sources.tables import table
 
@@ -21,6 +21,26 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return incremental.repeats_of_new_batches(*read, Workspace(spark, "p1"))
 
 
+def _garbled(spark: SparkSession, d: str) -> DataFrame:
+    parts = (("summary", "extracted_event_details", "enriched_event_id"), ("title", RUN1, "deduplicated_event_id"))
+    out = None
+    for field, name, key in parts:
+        rows = encoding.restore_garbled(table(spark, d, name), key, field, Workspace(spark, "p2"))
+        rows = rows.select(F.lit(field).alias("field"), F.col("id").alias("record_id"), "restored", "complete")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Records that hold a sequence read in the wrong encoding."""
+    return _garbled(spark, d).select("field", "record_id").distinct()
+
+
+def p2_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The restored text of garbled records; complete is false where characters are lost."""
+    return _garbled(spark, d)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Near-duplicate summaries, and match rows with near-duplicate titles."""
     details, evidence = table(spark, d, "extracted_event_details"), table(spark, d, "match_evidence")
@@ -40,6 +60,24 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("id").alias("enriched_event_id"), F.col("h").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("label", "h").alias("group_id"))
 
 
+def _survivors(spark: SparkSession, d: str) -> DataFrame:
+    work = Workspace(spark, "p4")
+    claims = fusion.snapshot_claims(table(spark, d, "snapshots"), table(spark, d, "match_evidence"), work)
+    return fusion.survivors(claims, work)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """For each incident and field the member whose value survives."""
+    return _survivors(spark, d).select(F.col("group").alias("deduplicated_event_id"), F.col("field").alias("field_name"), F.col("member").alias("enriched_event_id"))
+
+
+def p4_records(spark: SparkSession, d: str) -> DataFrame:
+    """One record per incident, each field filled by its survivor, with all values judged true."""
+    fields = [*fusion.MEMBER_FIELDS, "event_date", "entity_canonical"]
+    rows = _survivors(spark, d).groupBy(F.col("group").alias("deduplicated_event_id")).pivot("field", fields).agg(F.first("value").alias("value"), F.first("kept").alias("kept"))
+    return rows.select("deduplicated_event_id", *(F.col(f"{f}_value").alias(f) for f in fields), *(F.col(f"{f}_kept").alias(f"{f}_all") for f in fields))
+
+
 def _merge_edges(spark: SparkSession, d: str) -> DataFrame:
     live = table(spark, d, "decisions").where("action = 'merge' and superseded_by is null and deduplicated_event_id is not null and enriched_event_id is not null")
     return live.select("enriched_event_id", "deduplicated_event_id")
@@ -50,11 +88,55 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return components.bipartite_groups(_merge_edges(spark, d), "enriched_event_id", "deduplicated_event_id", Workspace(spark, "p5"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Typed names that mean a listed entity but are not spelled like it."""
+    fields = (("primary_entity", "extracted_event_details", "enriched_event_id"), ("victim_organization_name", RUN2, "deduplicated_event_id"), ("entity_left", "match_evidence", "decision_id"))
+    typed = None
+    for field, name, key in fields:
+        rows = table(spark, d, name).select(F.lit(field).alias("field"), F.col(key).alias("record_id"), F.col(field).alias("name")).where("record_id is not null and trim(name) <> ''")
+        typed = rows if typed is None else typed.unionByName(rows)
+    entities = table(spark, d, "entities")
+    work = Workspace(spark, "p6")
+    linked = work.save(names.link_names(typed.select("name"), entities, work), "linked")
+    proper = entities.select("entity_id", "entity_name")
+    variants = linked.join(proper, "entity_id").where("name <> entity_name").select("name", F.col("entity_id").cast("int").alias("entity_id"))
+    return typed.join(variants, "name").select("field", "record_id", "entity_id").distinct()
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """The container of 2,048 tokens of each document or piece."""
+    return packing.pack_documents(table(spark, d, "documents"), Workspace(spark, "p7"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that carry at least half of a held-out item."""
+    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), Workspace(spark, "p8")).select("doc_id", "item_id")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that are not natural prose."""
+    return quality.score_documents(table(spark, d, "documents"), table(spark, d, "doc_labels")).where("p_other > 0.5").select("doc_id").distinct()
+
+
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """The text statistics of every document."""
+    return quality.text_statistics(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p2_restored": p2_restored,
     "p3_found": p3_found,
     "p3_groups": p3_groups,
+    "p4_found": p4_found,
+    "p4_records": p4_records,
     "p5_found": p5_found,
+    "p6_found": p6_found,
+    "p7_containers": p7_containers,
+    "p8_found": p8_found,
+    "p9_found": p9_found,
+    "p9_statistics": p9_statistics,
 }
 
 ORACLES: dict[str, str] = {}
