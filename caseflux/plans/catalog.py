@@ -2,30 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from caseflux.plans import joins, registry, series  # noqa: F401  (they register themselves)
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from caseflux.sources.tables import table
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Registers a query (and its oracle, where SQL can express it)."""
-
-    def register(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return register
-
-
-@query("a01_monthly_distinct", "select strftime(event_date, '%Y-%m') as month, count(distinct enriched_event_id) as n_events from extracted_event_details where status = 'Active' and event_date between date '2020-01-01' and date '2025-12-31' group by 1")
-def a01_monthly_distinct(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "extracted_event_details").where((F.col("status") == "Active") & F.col("event_date").between("2020-01-01", "2025-12-31"))
-    return rows.groupBy(F.date_format("event_date", "yyyy-MM").alias("month")).agg(F.countDistinct("enriched_event_id").alias("n_events"))
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
