@@ -13,6 +13,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ from caseflux.session import Workspace
 
 TOP_N = 6
 MIN_COSINE = 0.2
-#: Average similarity to the entity's group below which a variant is not linked.
-LINKAGE = 0.2
+#: Average similarity to the entity's group below which a variant does not join it.
+LINKAGE = 0.25
+#: Variants of one entity that are grouped at a time; larger groups are cut by hash.
+GROUP_ROWS = 1000
 #: Listed entities are joined in blocks of this many; only a block is broadcast.
 BLOCK = 20_000
 #: A word found in this many listed names is an ordinary word, not a distinctive one.
@@ -255,6 +258,56 @@ class EntityBlock:
         return -scored[0][2], scored[0][1]
 
 
+def average_linkage(vectors: np.ndarray, least: float = LINKAGE) -> np.ndarray:
+    """Which rows join the group of row 0 by average linkage.
+
+    The row most similar to the group on average joins it, until none reaches
+    ``least``.  Rows are unit vectors, so the average is a product with the
+    sum of the group.
+    """
+    inside = np.zeros(len(vectors), bool)
+    inside[0] = True
+    score = vectors @ vectors[0]
+    size = 1
+    while not inside.all():
+        at = int(np.where(inside, -np.inf, score).argmax())
+        if score[at] / size < least:
+            break
+        inside[at] = True
+        score = score + vectors @ vectors[at]
+        size += 1
+    return inside
+
+
+def _group(rows: pd.DataFrame) -> pd.DataFrame:
+    """The variants of one entity (and block) that its average-linkage group holds."""
+    texts = [letters(words(rows["entity_name"].iloc[0])), *(letters(words(n)) for n in rows["name"])]
+    bags = [grams(t) for t in texts]
+    known = {g: k for k, g in enumerate(sorted({g for b in bags for g in b}))}
+    m = np.zeros((len(bags), len(known)), np.float32)
+    for r, b in enumerate(bags):
+        for g in b:
+            m[r, known[g]] += 1
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+    return rows[average_linkage(m)[1:]][["name", "entity_id", "cosine"]]
+
+
+def group_variants(linked: DataFrame, entities: DataFrame, rows: int = GROUP_ROWS) -> DataFrame:
+    """Linked names that their entity's average-linkage group keeps.
+
+    Names whose letters are the entity's own are in it by definition.  Groups
+    are cut into blocks of about ``rows`` variants by hash; every block has the
+    entity's proper name as its centre.
+    """
+    same = linked.where("cosine >= 0.999999")
+    rest = linked.where("cosine < 0.999999")
+    sizes = rest.groupBy("entity_id").agg(F.ceil(F.count("*") / rows).cast("int").alias("parts"))
+    proper = entities.select(F.col("entity_id").cast("long").alias("entity_id"), "entity_name")
+    placed = rest.join(sizes, "entity_id").join(proper, "entity_id").withColumn("part", F.pmod(F.xxhash64("name"), F.col("parts")))
+    kept = placed.groupBy("entity_id", "part").applyInPandas(_group, "name string, entity_id long, cosine double")
+    return same.unionByName(kept)
+
+
 def _linker(block: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = EntityBlock(**block)
@@ -302,4 +355,4 @@ def link_names(names: DataFrame, entities: DataFrame, work: Workspace) -> DataFr
         for p in parts[1:]:
             found = found.unionByName(p)
         found = found.groupBy("name").agg(F.max_by("entity_id", F.struct("cosine", -F.col("entity_id"))).alias("entity_id"), F.max("cosine").alias("cosine"))
-    return found
+    return group_variants(work.save(found, "linked_names"), listed)
