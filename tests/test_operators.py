@@ -130,3 +130,29 @@ def test_stream_counts_equal_the_batch(spark, tmp_path):
     q.awaitTermination(120)
     got = {tuple(r) for r in spark.table("daily").collect()}
     assert got == {tuple(r) for r in st.daily_counts(src).collect()} and random.random() < 1
+
+
+def test_title_cleaning_and_scores(spark):
+    from caseflux.functions import titles as ti
+
+    rows = [("Acme data breach exposes 5,000 clients - iTnews",), ("Acme cyber attack causes week-long outage",), ("Newsroom",), ("  ",), (None,), ("ACME HACKED AGAIN IN RANSOMWARE ATTACK",)]
+    got = spark.createDataFrame(rows, "t string").select(ti.clean_title(F.col("t")), ti.title_score(F.col("t"))).collect()
+    assert got[0][0] == "Acme data breach exposes 5,000 clients" and got[1][0].endswith("week-long outage")
+    assert got[0][1] == 4.0 and got[2][1] == -9.0 and got[3][1] == got[4][1] == -100.0 and got[5][1] == 6.0
+
+
+def test_dates_leave_the_text(spark):
+    from caseflux.functions import titles as ti
+
+    rows = [("Lost on 3 May 2024, found.",), ("Since May 3rd, 2024 nothing",), ("May day march 5 km",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(ti.without_dates(F.col("t"))).collect()]
+    assert got[0] == "Lost, found." and got[1] == "nothing" and got[3] is None
+
+
+def test_poisson_regression_gives_the_crude_ratio(spark):
+    from caseflux.operators.regression import poisson_glm
+
+    rows = [("a", 6, 61071.0), ("b", 27, 157782.0)]
+    fit = {r["term"]: r for r in poisson_glm(spark.createDataFrame(rows, "band string, e int, x double"), ["band"], "e", "x").collect()}
+    assert abs(fit["band=b"]["rate_ratio"] - 1.74177) < 1e-4
+    assert abs(fit["band=b"]["se"] - (1 / 6 + 1 / 27) ** 0.5) < 1e-6
