@@ -69,17 +69,17 @@ def usable_date(c: Column) -> Column:
 def source_quality(claims: DataFrame, work: Workspace, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(facts with belief, sources with sensitivity and specificity).
 
-    ``claims``: (group, field, value, source), values not null.  A source that
-    speaks on (group, field) denies the values it does not state.  Facts with
+    ``claims``: (topic, value, source), hashes of what is spoken of and of what
+    is said.  A source that speaks on a topic denies the values it does not state.  Facts with
     the same votes are counted together before the rounds, so a round's work
     follows the number of distinct vote patterns.
     """
-    votes = claims.groupBy("group", "field", "value", "source").agg(F.count("*").alias("said"))
-    spoke = votes.groupBy("group", "field", "source").agg(F.sum("said").alias("spoke"))
-    facts = votes.select("group", "field", "value").distinct()
-    cast = facts.join(spoke, ["group", "field"]).join(votes, ["group", "field", "value", "source"], "left")
+    votes = claims.groupBy("topic", "value", "source").agg(F.count("*").alias("said"))
+    spoke = votes.groupBy("topic", "source").agg(F.sum("said").alias("spoke"))
+    facts = votes.select("topic", "value").distinct()
+    cast = facts.join(spoke, "topic").join(votes, ["topic", "value", "source"], "left")
     vote = F.struct("source", F.coalesce("said", F.lit(0)).alias("yes"), (F.col("spoke") - F.coalesce("said", F.lit(0))).alias("no"))
-    pattern = cast.groupBy("group", "field", "value").agg(F.array_sort(F.collect_list(vote)).alias("votes"))
+    pattern = cast.groupBy("topic", "value").agg(F.array_sort(F.collect_list(vote)).alias("votes"))
     facts = work.save(pattern, "facts")
     counted = work.save(facts.groupBy("votes").agg(F.count("*").alias("n")).withColumn("v", F.explode("votes")).select("votes", "n", "v.*"), "patterns")
     quality = counted.select("source").distinct().select("source", F.lit(SMOOTH_TRUE[0] / sum(SMOOTH_TRUE)).alias("sens"), F.lit(SMOOTH_FALSE[0] / sum(SMOOTH_FALSE)).alias("fall"))
@@ -97,7 +97,7 @@ def source_quality(claims: DataFrame, work: Workspace, rounds: int = ROUNDS) ->
         quality = work.save(
             rates.select("source", ((F.col("ty") + SMOOTH_TRUE[0]) / (F.col("ta") + sum(SMOOTH_TRUE))).alias("sens"), ((F.col("fy") + SMOOTH_FALSE[0]) / (F.col("fa") + sum(SMOOTH_FALSE))).alias("fall")), f"quality{k}"
         )
-    believed = facts.join(beliefs(quality), "votes").select("group", "field", "value", "belief")
+    believed = facts.join(beliefs(quality), "votes").select("topic", "value", "belief")
     return believed, quality.select("source", F.col("sens").alias("sensitivity"), (1 - F.col("fall")).alias("specificity"))
 
 
@@ -111,17 +111,15 @@ def survivors(claims: DataFrame, work: Workspace, rounds: int = ROUNDS) -> DataF
     fields, members and values claim nothing; repeated claims count once.
     """
     claims = claims.where("group is not null and field is not null and member is not null and value is not null").distinct()
-    claims = work.save(claims, "claims")
-    believed, _ = source_quality(claims.select("group", "field", "value", "source"), work, rounds)
-    ranked = claims.join(believed, ["group", "field", "value"])
-    order = F.struct(F.coalesce("weight", F.lit(-1.0)), F.coalesce("updated_at", F.lit("0001-01-01").cast("timestamp_ntz")), "belief")
-    best = ranked.groupBy("group", "field").agg(
-        F.max(order).alias("top"),
-        F.array_sort(F.collect_set(F.when(F.col("belief") >= 0.5, F.col("value")))).alias("kept"),
-    )
-    tied = ranked.join(best, ["group", "field"]).where(order == F.col("top"))
-    one = tied.groupBy("group", "field").agg(F.min(F.struct("member", "value", "belief", "kept")).alias("s"))
-    return one.select("group", "field", "s.member", "s.value", "s.belief", F.array_union("s.kept", F.array("s.value")).alias("kept"))
+    hashed = claims.withColumn("_topic", F.xxhash64("group", "field")).withColumn("_said", F.xxhash64("value"))
+    claims = work.save(hashed, "claims")
+    believed, _ = source_quality(claims.select(F.col("_topic").alias("topic"), F.col("_said").alias("value"), "source"), work, rounds)
+    ranked = claims.join(believed.select(F.col("topic").alias("_topic"), F.col("value").alias("_said"), "belief"), ["_topic", "_said"])
+    best = F.struct(
+        (-F.coalesce("weight", F.lit(-1.0))).alias("w"), (-F.coalesce(F.unix_micros(F.col("updated_at").cast("timestamp")), F.lit(-(2**62)))).alias("u"), (-F.col("belief")).alias("b"), "member", "value"
+    )
+    one = ranked.groupBy("group", "field").agg(F.min(best).alias("s"), F.array_sort(F.collect_set(F.when(F.col("belief") >= 0.5, F.col("value")))).alias("kept"))
+    return one.select("group", "field", "s.member", "s.value", (-F.col("s.b")).alias("belief"), F.array_union("kept", F.array("s.value")).alias("kept"))
 
 
 MEMBER_FIELDS = ("title", "severity", "records_affected", "attack_method")
