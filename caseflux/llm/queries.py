@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflux.llm import components, encoding, fusion, incremental, leakage, names, neardup, packing, quality
+from caseflux.llm.oracles import ORACLES  # noqa: F401  (part of the catalogue)
 from caseflux.session import Workspace
 from caseflux.sources.tables import table
 
@@ -138,5 +139,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_found": p9_found,
     "p9_statistics": p9_statistics,
 }
-
-ORACLES: dict[str, str] = {}
