@@ -50,8 +50,10 @@ NICKNAMES = {
     "ed": "edward", "ted": "edward", "eddie": "edward", "ned": "edward", "maggie": "margaret", "meg": "margaret", "peggy": "margaret", "alex": "alexandra", "sandra": "alexandra", "lexi": "alexandra", "sue": "susannah",
     "susie": "susannah", "susan": "susannah", "anna": "susannah", "fran": "francis", "frank": "francis", "dot": "dorothy", "dottie": "dorothy", "dolly": "dorothy", "penny": "penelope", "jim": "james", "mike": "michael",
     "dave": "david", "dan": "daniel", "nick": "nicholas", "tom": "thomas", "joe": "joseph", "sam": "samuel", "steve": "stephen", "matt": "matthew", "ben": "benjamin", "jo": "joanna", "wi": "wiremu",
-    "sasha": "alexandra", "theo": "theodore", "teddy": "theodore", "jamie": "james", "jimmy": "james", "joan": "joanna", "jack": "john", "harry": "henry", "charlie": "charles", "betsy": "elizabeth", "eliza": "elizabeth", "kath": "katherine", "kitty": "katherine", "topher": "christopher", "marg": "margaret", "peg": "margaret", "suzie": "susannah", "nell": "penelope", "franky": "francis", "ward": "edward",
+    "sasha": "alexandra", "theo": "theodore", "teddy": "theodore", "jamie": "james", "jimmy": "james", "joan": "joanna", "jack": "john", "harry": "henry", "charlie": "charles", "betsy": "elizabeth", "eliza": "elizabeth", "kath": "katherine", "kitty": "katherine", "topher": "christopher", "marg": "margaret", "peg": "margaret", "suzie": "susannah", "nell": "penelope", "mick": "michael", "mikey": "michael", "misha": "michael", "drew": "andrew", "andy": "andrew", "pete": "peter", "greg": "gregory", "jen": "jennifer", "jenny": "jennifer", "vicky": "victoria", "becky": "rebecca", "pat": "patricia", "ron": "ronald", "don": "donald", "ken": "kenneth", "jeff": "jeffrey", "larry": "lawrence", "gabe": "gabriel", "franky": "francis", "ward": "edward",
 }
+#: Nicknames of a second name.
+ALSO = {"ted": "theodore", "teddy": "edward", "alex": "alexander", "sandy": "alexandra", "chris": "christine", "sam": "samantha", "jo": "joanne", "pat": "patrick", "fran": "frances", "kit": "katherine"}
 _JOINERS = {"and", "of", "for"}
 
 
@@ -229,8 +231,7 @@ class EntityBlock:
             d = slips(l, last, most)
             if d > most:
                 continue
-            full = NICKNAMES.get(f, f)
-            if full == first or f == first[: len(f)] and len(f) <= 4 or slips(f, first, 1) <= 1 and len(first) > 3:
+            if first in (f, NICKNAMES.get(f), ALSO.get(f)) or f == first[: len(f)] and len(f) <= 4 or slips(f, first, 1) <= 1 and len(first) > 3:
                 best = max(best, 2.0 - 0.5 * d)
         return best
 
