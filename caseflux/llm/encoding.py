@@ -29,7 +29,7 @@ RUN = re.compile(r"[^\x00-\x7f]+")
 #: Characters that no reading of correct text yields.
 LOST = re.compile("[\u0080-\u009f�]")
 #: What garbled text cannot do without; single accented letters are not looked at further.
-SUSPECT = re.compile("[^\\x00-\\x7f]{2}|[\u0080-\u009f\ufffd\u2e80-\uffef]|(?<=[a-z])Ã")
+SUSPECT = re.compile("[^\\x00-\\x7f]{2}|[\u0080-\u009f\ufffd\u2e80-\uffef]|(?<=[a-z])[ÃÂ]")
 MAX_PASSES = 3
 
 
@@ -77,7 +77,7 @@ def _cut_quotes() -> re.Pattern:
         except UnicodeDecodeError:
             pass
     heads = sorted({re.escape(h) for h in heads if len(h) == 2 or ord(h) > 0x2E7F})
-    return re.compile("|".join([*heads, r"(?<=[a-z])Ã(?![a-z\x80-\xbf])"]))
+    return re.compile("|".join([*heads, r"(?<=[a-z])[ÃÂ](?![a-z\x80-\xbf])"]))
 
 
 def _decode(found: str, codec: str) -> str | None:
