@@ -59,3 +59,34 @@ def blocking_keys(c: Column, rare: Column | None = None) -> Column:
     pair = F.when(F.size(words) >= 2, F.array(F.array_join(F.slice(words, 1, 2), " "))).otherwise(F.array().cast("array<string>"))
     keys = F.concat(F.array(key), F.array(F.array_join(words, " ")), pair, single, acronym)
     return F.filter(F.array_distinct(keys), lambda k: (k != "") & ~k.isin(*GENERIC))
+
+
+# Places that trail a name without being part of it.
+PLACES = ("australia", "aust", "au", "nsw", "vic", "qld", "wa", "sa", "tas", "act", "nt", "new south wales", "victoria", "queensland", "tasmania", "usa", "uk", "new zealand", "nz")
+
+
+def without_place(c: Column) -> Column:
+    """Normal form without parentheses and without trailing places, unless "of" precedes them."""
+    t = normal_name(F.regexp_replace(F.coalesce(c, F.lit("")), "\\([^)]*\\)", " "))
+    return F.regexp_replace(t, f"(?<=\\S)(?<! of)( ({'|'.join(PLACES)}))+$", "")
+
+
+def split_compound(c: Column, most_words: int = 6) -> Column:
+    """Names joined by ``,``, ``;``, ``|`` or ``/``; "and" and "&" part only names of few words."""
+    parts = F.split(F.coalesce(c, F.lit("")), "\\s*[,;|/]\\s*")
+    short = lambda p: F.size(F.split(F.trim(p), "\\s+")) <= most_words
+    finer = F.flatten(F.transform(parts, lambda p: F.when(short(p), F.split(p, "(?i)\\s+(?:and|&)\\s+")).otherwise(F.array(p))))
+    return F.array_distinct(F.filter(F.transform(finer, lambda p: F.trim(p)), lambda p: p != ""))
+
+
+def is_initialism(short: Column, long: Column) -> Column:
+    """Is the short name made of the first letters of the long one's words (all, or without "of", "and", "the")?"""
+    s = F.replace(normal_name(short), F.lit(" "), F.lit(""))
+    words = F.split(normal_name(long), " ")
+    telling = F.filter(words, lambda w: ~w.isin("of", "and", "the", "for"))
+    return (F.length(s) >= 2) & (F.size(words) >= 2) & ((s == initials(words)) | (s == initials(telling)))
+
+
+def distinctive_core(tokens: Column, common: Column) -> Column:
+    """Tokens of three letters or more that are not among the common ones."""
+    return F.array_distinct(F.filter(F.array_except(tokens, common), lambda w: F.length(w) >= 3))

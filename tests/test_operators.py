@@ -156,3 +156,22 @@ def test_poisson_regression_gives_the_crude_ratio(spark):
     fit = {r["term"]: r for r in poisson_glm(spark.createDataFrame(rows, "band string, e int, x double"), ["band"], "e", "x").collect()}
     assert abs(fit["band=b"]["rate_ratio"] - 1.74177) < 1e-4
     assert abs(fit["band=b"]["se"] - (1 / 6 + 1 / 27) ** 0.5) < 1e-6
+
+
+def test_merge_chains_and_cycles(spark, work):
+    from caseflux.operators.chains import merge_targets
+
+    chain = [(f"n{k:03d}", f"n{k + 1:03d}") for k in range(20)]
+    rows = [*chain, ("x", "y"), ("y", "x"), ("z", "x"), ("q", "q"), (None, "a"), ("a", None), ("x", "y")]
+    got = {r["incident"]: r["final"] for r in merge_targets(spark.createDataFrame(rows, "source string, target string"), work).collect()}
+    assert all(got[f"n{k:03d}"] == "n020" for k in range(20))
+    assert got["x"] == got["y"] == "x" and got["z"] == "x" and "q" not in got
+
+
+def test_name_parts(spark):
+    rows = [("Acme (Holdings) Australia", "Acme and Borumal; Zen / Quo", "ACL", "Australian Clinical Labs"), ("University of Queensland", "Long Name of Many Words and Even More Words", "UoQ", "University of Queensland"), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "a string, b string, s string, l string")
+    got = [tuple(r) for r in df.select(nm.without_place(F.col("a")), nm.split_compound(F.col("b")), nm.is_initialism(F.col("s"), F.col("l"))).collect()]
+    assert got[0] == ("acme", ["Acme", "Borumal", "Zen", "Quo"], True)
+    assert got[1][0] == "university of queensland" and len(got[1][1]) == 1 and got[1][2] is True
+    assert got[2][0] == "" and got[2][1] == [] and got[2][2] is False
