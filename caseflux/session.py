@@ -8,8 +8,10 @@ a private one is chosen only where that setting is absent (tests, a laptop).
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,26 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends the package to the executors, once a context, unless PYTHONPATH already names it.
+
+    Spark's file server hands the archive out, so it need not lie in a shared folder.
+    """
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_caseflux_shipped", False) or os.path.dirname(package) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="caseflux-"), "caseflux.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    sc._caseflux_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder shared by all executors, as the session names it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
