@@ -54,6 +54,16 @@ def test_hot_group_is_split_and_whole(spark, work):
     assert pairs(neardup.near_duplicate_pairs(df, "id", "text", work, shard_rows=8)) == brute(rows, 0.6)
 
 
+def test_hot_words_beside_a_rare_one_in_every_class(spark, work):
+    rows = [(f"hot-{k:02d}", " ".join([f"h{j}" for j in range(30)] + [f"edit{k}"])) for k in range(40)]
+    # the edit words stand in one unrelated text each, so they are shared and rare
+    rows += [(f"own-{k:02d}", f"edit{k} " + " ".join(f"o{k}x{j}" for j in range(8))) for k in range(40)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    want = brute(rows, 0.6)
+    assert len(want) == 40 * 39 // 2
+    assert pairs(neardup.near_duplicate_pairs(df, "id", "text", work, shard_rows=8)) == want
+
+
 def test_long_texts_and_exact_copies(spark, work):
     long = " ".join(f"w{k}" for k in range(20_000))
     rows = [("a", long), ("b", long + " one more"), ("c", long), ("d", "short text of few words"), ("e", "short text of few Words!")]
