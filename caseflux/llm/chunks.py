@@ -4,7 +4,8 @@ A text is normalised to its lower-cased words, one blank between them.  A
 rolling hash over ``WINDOW`` bytes sets the chunk boundaries, so an edit moves
 only the boundaries near it.  The chunk table (chunk, record, bytes) persists;
 a new batch looks up its own chunks in it, sums the shared bytes by record and
-decides by coverage.  What the batch brings is then appended.
+decides by coverage.  What the batch brings is then appended.  Coverage says
+nothing of reordered words; texts it leaves undecided go to ``wordlookup``.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseflux.llm import wordlookup as wl
 from caseflux.llm import wordsets as ws
 from caseflux.session import Workspace, broadcast_if_small
 
@@ -96,29 +98,38 @@ def sketch_limit(t: float) -> int:
     return int(SKETCH * p + SKETCH_SLACK * (SKETCH * p * (1 - p)) ** 0.5)
 
 
-def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()
-    for b in ws.slices(batches, 256):
-        texts = b.column(1).to_pylist()
-        flat, counts = ws.flat_hashes(texts)
-        # chunks of the first copy that this task meets; its later copies share them
-        hs = ws.set_hashes(flat, counts).tolist()
-        if len(seen) > SEEN_CLASSES:
-            seen.clear()
-        first = [not (k in seen or seen.add(k)) for k in hs]
-        h, size, owner = chunk_texts([t if f else None for t, f in zip(texts, first)])
-        n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
-        sk = sketches(flat, counts)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(hs, pa.int64()), pa.array(counts.astype(np.int32)), pa.array(sk[:, 0]), pa.array(sk[:, 1]), ws.list_array(h, n), ws.list_array(size.astype(np.int32), n)],
-            ["id", "h", "n", "s0", "s1", "chunks", "sizes"],
-        )
-
-
-def chunk_records(texts: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, h, n, s0, s1, chunks, sizes): sketch and chunk list of every text with a word."""
+def _chunker(order: tuple[np.ndarray, np.ndarray], t: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in ws.slices(batches, 256):
+            texts = b.column(1).to_pylist()
+            flat, counts = ws.flat_hashes(texts)
+            # chunks of the first copy that this task meets; its later copies share them
+            hs = ws.set_hashes(flat, counts).tolist()
+            if len(seen) > SEEN_CLASSES:
+                seen.clear()
+            first = [not (k in seen or seen.add(k)) for k in hs]
+            h, size, owner = chunk_texts([t if f else None for t, f in zip(texts, first)])
+            n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
+            sk = sketches(flat, counts)
+            mine = np.where(first, counts, 0)
+            p, kept = wl.prefixes(flat[np.repeat(first, counts)], mine, order, t)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(hs, pa.int64()), pa.array(counts.astype(np.int32)), pa.array(sk[:, 0]), pa.array(sk[:, 1]), ws.list_array(h, n), ws.list_array(size.astype(np.int32), n), ws.fp_array(ws.fingerprints(flat, counts)), ws.list_array(p, kept)],
+                ["id", "h", "n", "s0", "s1", "chunks", "sizes", "fp", "prefix"],
+            )
+
+    return run
+
+
+def chunk_records(texts: DataFrame, id_col: str, text: str, order: tuple[np.ndarray, np.ndarray], t: float) -> DataFrame:
+    """(id, h, n, s0, s1, chunks, sizes, fp, prefix): sketch, chunk list, fingerprint and word prefix of every text with a word.
+
+    Chunks and prefix are filled for the first copy that a task meets.
+    """
     read = texts.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    return read.mapInArrow(_chunk_rows, "id string, h long, n int, s0 long, s1 long, chunks array<long>, sizes array<int>").where("n > 0")
+    schema = "id string, h long, n int, s0 long, s1 long, chunks array<long>, sizes array<int>, fp binary, prefix array<long>"
+    return read.mapInArrow(_chunker(order, t), schema).where("n > 0")
 
 
 class ChunkIndex:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseflux.llm import chunks as ch
 from caseflux.llm import neardup as nd
+from caseflux.llm import wordlookup as wl
 from caseflux.session import Workspace, broadcast_if_small
 
 
@@ -15,7 +16,8 @@ def repeats_of_new_batches(decisions: DataFrame, batches: DataFrame, articles: D
 
     An article repeats if it stands in a batch opened earlier, or if an article
     of such a batch has a summary whose words overlap by ``t``.  Candidates
-    come from the chunk table by coverage; the word sets are verified exactly.
+    come from the chunk table by coverage; classes that these leave undecided
+    are looked up by their words, which loses none.  All are verified exactly.
 
     Rows with a null or unknown batch or a null article count for nothing,
     rows delivered twice count once, batches opened at the same moment are not
@@ -26,12 +28,12 @@ def repeats_of_new_batches(decisions: DataFrame, batches: DataFrame, articles: D
     opened = broadcast_if_small(opened, opened.count(), 120)
     stood = decisions.select("batch_id", F.col("enriched_event_id").alias("id")).where("id is not null").join(opened, "batch_id")
     stood = work.save(stood.select("batch_id", "id", "opened_at", "state").distinct(), "standing")
-    first = stood.groupBy("id").agg(F.min("opened_at").alias("first_open"), F.max(F.when(F.col("state") == "new", F.col("opened_at"))).alias("new_open"))
+    first = stood.groupBy("id").agg(F.min("opened_at").alias("first_open"), F.max(F.when(F.col("state") == "new", F.col("opened_at"))).alias("new_open"), F.min(F.when(F.col("state") == "new", F.col("opened_at"))).alias("new_first"))
     first = work.save(first, "first_open")
 
-    records = work.save(ch.chunk_records(articles, "enriched_event_id", "summary"), "chunk_records")
+    records = work.save(ch.chunk_records(articles, "enriched_event_id", "summary", wl.word_order(articles, "enriched_event_id", "summary"), t), "chunk_records")
     members = work.save(records.select("id", "h").distinct().join(first, "id"), "chunk_members")
-    classes = work.save(members.groupBy("h").agg(F.min("first_open").alias("first_open"), F.max("new_open").alias("new_open")), "chunk_classes")
+    classes = work.save(members.groupBy("h").agg(F.min("first_open").alias("first_open"), F.max("new_open").alias("new_open"), F.min("new_first").alias("new_first")), "chunk_classes")
 
     index = ch.ChunkIndex(work)
     index.append(records)
@@ -39,12 +41,25 @@ def repeats_of_new_batches(decisions: DataFrame, batches: DataFrame, articles: D
     # only what opened before the asking class's latest new batch can matter
     a = classes.select(F.col("h").alias("q"), "new_open")
     b = classes.select("h", F.col("first_open").alias("there"))
-    near = near.select("q", "h").join(a, "q").join(b, "h").where("there < new_open").select(F.least("q", "h").alias("a"), F.greatest("q", "h").alias("b")).distinct()
-    links = nd.verify(near, records, articles, "enriched_event_id", "summary", work, t)
-    links = work.save(links.select("a", "b"), "summary_links")
 
-    both = links.select(F.col("a").alias("h"), F.col("b").alias("other")).union(links.select("b", "a"))
-    there = both.join(b.withColumnRenamed("h", "other"), "other").groupBy("h").agg(F.min("there").alias("near_open"))
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = pairs.select("q", "h").join(a, "q").join(b, "h").where("there < new_open").select(F.least("q", "h").alias("a"), F.greatest("q", "h").alias("b")).distinct()
+        links = nd.verify(pairs, records, articles, "enriched_event_id", "summary", work, t)
+        return work.save(links.select("a", "b"), name)
+
+    def earliest_near(links: DataFrame) -> DataFrame:
+        both = links.select(F.col("a").alias("h"), F.col("b").alias("other")).union(links.select("b", "a"))
+        return both.join(b.withColumnRenamed("h", "other"), "other").groupBy("h").agg(F.min("there").alias("near_open"))
+
+    links = verified(near, "summary_links")
+    # undecided: nothing found so far is earlier than the first new batch of the class
+    open_classes = classes.where("new_first is not null").join(earliest_near(links), "h", "left").where("not coalesce(least(first_open, near_open) < new_first, false)").select("h")
+    open_classes = work.save(open_classes, "undecided")
+    indexed = records.where(F.size("prefix") > 0)
+    asking = indexed.join(broadcast_if_small(open_classes, open_classes.count(), 24), "h", "left_semi")
+    links = links.union(verified(wl.lookup(asking, indexed, work, t), "word_links"))
+
+    there = earliest_near(links)
     earliest = classes.select("h", "first_open").join(there, "h", "left").select("h", F.least("first_open", "near_open").alias("earliest"))
     by_text = members.select("id", "h").join(earliest, "h").groupBy("id").agg(F.min("earliest").alias("by_text"))
     asked = stood.where("state = 'new'").join(first.select("id", "first_open"), "id").join(by_text, "id", "left")

@@ -140,3 +140,43 @@ def test_new_batches_against_history(spark, work):
         work,
     )
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_new_batch_texts_reordered_or_at_the_limit(spark, work):
+    import datetime as dt
+
+    rng = random.Random(12)
+    history, new = {}, {}
+    for k in range(60):
+        words = [f"w{rng.randrange(900)}" for _ in range(60)]
+        history[f"old-{k:02d}"] = " ".join(words)
+        edit = list(words)
+        for at in rng.sample(range(60), 1 if k % 2 else 14):
+            edit[at] = f"e{rng.randrange(10**6)}"
+        if k % 2:
+            rng.shuffle(edit)
+        new[f"new-{k:02d}"] = " ".join(edit)
+    want = {("b2", i) for i, x in new.items() if any(jaccard(x, y) >= 0.6 for y in history.values())}
+    assert len(want) > 40
+    got = incremental.repeats_of_new_batches(
+        spark.createDataFrame([*(("b1", i) for i in history), *(("b2", i) for i in new)], "batch_id string, enriched_event_id string"),
+        spark.createDataFrame([("b1", dt.datetime(2024, 1, 1), "accepted"), ("b2", dt.datetime(2024, 2, 1), "new")], "batch_id string, opened_at timestamp, state string"),
+        spark.createDataFrame([*history.items(), *new.items()], "enriched_event_id string, summary string"),
+        work,
+    )
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_word_lookup_loses_no_pair():
+    import numpy as np
+
+    from caseflux.llm import wordlookup
+    from caseflux.llm import wordsets as ws
+
+    texts = [t for _, t in make(21, groups=50, hot=30)]
+    flat, counts = ws.flat_hashes(texts)
+    h, fp = ws.set_hashes(flat, counts), ws.fingerprints(flat, counts).view(np.uint64)
+    words, kept = wordlookup.prefixes(flat, counts, (np.zeros(0, np.int64), np.zeros(0, np.int64)), 0.6)
+    found = {(int(a), int(b)) for q, d in wordlookup.Postings(h, counts, fp, words, kept, 0.6).pairs(h, counts, fp, words, kept) for a, b in zip(q, d)}
+    want = {(int(h[i]), int(h[j])) for i, x in enumerate(texts) for j, y in enumerate(texts) if h[i] != h[j] and jaccard(x, y) >= 0.6}
+    assert want and want <= found
