@@ -10,7 +10,8 @@ position bounds, and the survivors are verified word by word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -21,15 +22,18 @@ from pyspark.sql import functions as F
 from caseflux.llm import wordsets as ws
 from caseflux.session import Workspace, broadcast_if_small
 
-SHINGLE = 5
-#: Share of an item's shingles that must stand close together; half of the words
-#: with every tenth one changed still keep a quarter of them.
-LEAST_SHINGLES = 0.15
+#: The densest edit allowed changes every fourth word, which leaves runs of three.
+SHINGLE = 3
+#: Share of an item's shingles that must stand close together. The least that the
+#: rule leaves: pieces of seven words cut 2 + 3 + 2, one shingle each, half of the words.
+LEAST_SHINGLES = 1 / 14
+#: Share of an item's words that those shingles cover: three words of each such piece.
+LEAST_COVERED = 3 / 14
 #: Share of an item's words that must be carried.
 LEAST_WORDS = 0.5
 #: Pieces are close together within so many item lengths.
 WINDOW = 2.0
-#: Shortest run of equal words that counts by itself.
+#: Equal words that a piece (runs that single changed words part) must have to count.
 RUN_WORDS = 7
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -63,6 +67,14 @@ class ItemSet:
         self.keys = np.unique(np.concatenate([*sets, np.zeros(0, np.int64)])).astype(np.int64)
         self.of_item = [np.searchsorted(self.keys, s) for s in sets]
         self.k = k
+        self.masks = [word_masks(w) for w in self.words]
+        # the words of the item that each of its shingles covers, as bits
+        self.cover: list[dict[int, int]] = []
+        for w in self.words:
+            by: dict[int, int] = {}
+            for p, x in enumerate(np.searchsorted(self.keys, shingle_hashes(w, k)).tolist()):
+                by[x] = by.get(x, 0) | ((1 << min(k, len(w))) - 1) << p
+            self.cover.append(by)
 
     def prefix(self, df: np.ndarray, share: float) -> dict[int, list[int]]:
         """Shingle -> items in whose prefix it is; rarest shingles first."""
@@ -97,37 +109,68 @@ def _hits(items: ItemSet):
     return run
 
 
+def _windows(at: list[int], shingles: list[int], cover: dict[int, int], least: float, span: int) -> tuple[int, int] | None:
+    """First and last place of the blocks whose shingles cover ``least`` words of the item.
+
+    Blocks are two spans long and start every span, so one holds any window.
+    """
+    if at[-1] - at[0] <= 2 * span:
+        whole = 0
+        for x in set(shingles):
+            whole |= cover[x]
+        return (at[0], at[-1]) if whole.bit_count() >= least else None
+    masks: dict[int, int] = {}
+    for p, x in zip(at, shingles):
+        k, m = p // span, cover[x]
+        masks[k] = masks.get(k, 0) | m
+        masks[k - 1] = masks.get(k - 1, 0) | m
+    kept = {k for k, m in masks.items() if m.bit_count() >= least}
+    if not kept:
+        return None
+    inside = [p for p in at if p // span in kept or p // span - 1 in kept]
+    return inside[0], inside[-1]
+
+
 def _candidates(items: ItemSet, df: np.ndarray, share: float, window: float):
     prefix = items.prefix(df, share)
     flags = np.zeros(len(items.keys), bool)
     flags[list(prefix)] = True
-    members: dict[int, list[int]] = {}
-    for n, s in enumerate(items.of_item):
-        for x in s.tolist():
-            members.setdefault(x, []).append(n)
+    # (shingle, item) by shingle
+    shingle = np.concatenate([*items.of_item, np.zeros(0, np.int64)]).astype(np.int64)
+    item = np.repeat(np.arange(len(items.of_item)), items.size)
+    by = np.argsort(shingle, kind="stable")
+    first, item = np.searchsorted(shingle[by], np.arange(len(items.keys) + 1)), item[by]
+    asks = np.array([n in prefix.get(x, ()) for x, n in zip(shingle[by].tolist(), item.tolist())], bool)
+    needs = np.maximum(1, np.ceil(share * items.size)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for i, s, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                s, p = np.array(s), np.array(p)
-                asked = {n for x in np.unique(s[flags[s]]).tolist() for n in prefix[x]}
-                if not asked:
+            for i, s, p in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                s, p = s.values.to_numpy(), p.values.to_numpy()
+                if not flags[s].any():
                     continue
-                places: dict[int, list[int]] = {n: [] for n in asked}
-                for k, x in enumerate(s.tolist()):
-                    for n in members[x]:
-                        if n in places:
-                            places[n].append(k)
-                for n, ks in places.items():
-                    need = max(1, int(np.ceil(share * items.size[n])))
-                    if len(ks) < need:  # length bound
+                size = first[s + 1] - first[s]
+                x = np.arange(int(size.sum())) + np.repeat(first[s] - (np.cumsum(size) - size), size)
+                n = item[x]
+                # length bound, and a shingle of the item's prefix
+                enough = (np.bincount(n, minlength=len(needs)) >= needs) & (np.bincount(n[asks[x]], minlength=len(needs)) > 0)
+                if not enough.any():
+                    continue
+                hit = np.repeat(np.arange(len(s)), size)
+                kept = enough[n]
+                n, hit = n[kept], hit[kept]
+                order = np.argsort(n, kind="stable")
+                n, hit = n[order], hit[order]
+                cuts = np.flatnonzero(np.diff(n)) + 1
+                for one, ks in zip(n[np.concatenate([[0], cuts])].tolist(), np.split(hit, cuts)):
+                    need, at = int(needs[one]), p[ks]
+                    span = window * items.length[one]
+                    # position bound: enough of the item's shingles within one window
+                    if not (at[need - 1 :] - at[: len(at) - need + 1] <= span).any():
                         continue
-                    at = p[ks]
-                    span = window * items.length[n]
-                    # position bound: enough hits within one window
-                    if (at[need - 1 :] - at[: len(at) - need + 1] <= span).any():
-                        out.append((i, n, int(at[0]), int(at[-1])))
+                    if spread := _windows(at.tolist(), s[ks].tolist(), items.cover[one], LEAST_COVERED * items.length[one], int(span) + 1):
+                        out.append((i, one, *spread))
             if out:
                 a = [pa.array(c) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays([a[0].cast(pa.int64()), a[1].cast(pa.int32()), a[2].cast(pa.int32()), a[3].cast(pa.int32())], ["doc_id", "item", "first", "last"])
@@ -135,25 +178,102 @@ def _candidates(items: ItemSet, df: np.ndarray, share: float, window: float):
     return run
 
 
-def carried_share(item: list[str], text: list[str], window: float = WINDOW) -> float:
+def word_masks(item: list[str]) -> dict[str, int]:
+    """The places of each word of the item, as bits."""
+    at: dict[str, int] = {}
+    for k, w in enumerate(item):
+        at[w] = at.get(w, 0) | 1 << k
+    return at
+
+
+def in_order(masks: Iterable[int], n: int) -> int:
+    """Length of the longest common subsequence with an item of n words, by bit vectors."""
+    full = v = (1 << n) - 1
+    for m in masks:
+        x = v & m
+        if x:
+            v = (v + x | v & ~m) & full
+    return n - v.bit_count()
+
+
+def _greedy(item: list[str], part: list[str], least: int) -> int:
+    total, piece, last = 0, 0, None
+    for m in SequenceMatcher(None, item, part, autojunk=False).get_matching_blocks():
+        if last and m.size and m.a - last.a - last.size <= 1 and m.b - last.b - last.size <= 1:
+            piece += m.size
+        else:
+            total += piece if piece >= least else 0
+            piece = m.size
+        last = m
+    return total + (piece if piece >= least else 0)
+
+
+def _aligned(item: list[str], part: list[str], least: int) -> int:
+    """Most words that pieces of at least ``least`` words hold in order (exact).
+
+    v[r] holds, by place in the text, the best total with r words (``least``: or
+    more) in the current piece; closed holds the best total up to a place.
+    """
+    none = -(1 << 20)
+    code = {w: k for k, w in enumerate(dict.fromkeys(item))}
+    y = np.array([code.get(w, -1) for w in part])
+    width = len(part)
+    closed = np.zeros(width + 1, np.int64)
+    one = two = np.full((least + 1, width), none)
+    for w in item:
+        at = np.flatnonzero(y == code[w])
+        v = np.full((least + 1, width), none)
+        if len(at):
+            before = np.full((least + 1, len(at)), none)
+            for row in (one, two):
+                for back in (1, 2):
+                    ok = at >= back
+                    before[:, ok] = np.maximum(before[:, ok], row[:, at[ok] - back])
+            new = np.full((least + 1, len(at)), none)
+            new[1] = closed[at] + (1 if least == 1 else 0)
+            new[2:] = before[1:-1]
+            if least > 1:
+                new[least] += least
+            new[least] = np.maximum(new[least], before[least] + 1)
+            v[:, at] = new
+        two, one = one, v
+        closed[1:] = np.maximum(closed[1:], np.maximum.accumulate(v[least]))
+    return int(closed[-1])
+
+
+def carried_share(item: list[str], text: list[str], window: float = WINDOW, floor: float = 0.0, at: dict[str, int] | None = None) -> float:
     """Largest share of the item's words that some window of the text has in order.
 
-    Runs of RUN_WORDS equal words count, and shorter ones that only a changed
-    word parts from a counted run.
+    Runs that a single changed word parts are one piece; pieces of RUN_WORDS
+    equal words count.  Windows whose longest common subsequence is below
+    ``floor`` of the item are left out: they cannot reach it.  ``at`` has the
+    item's ``word_masks``, where known.
     """
-    best = 0
-    size = max(len(item) + 2 * SHINGLE, int(window * len(item)))
-    for start in range(0, max(1, len(text) - size // 2), max(1, size // 2)):
-        blocks = [m for m in SequenceMatcher(None, item, text[start : start + size], autojunk=False).get_matching_blocks() if m.size]
-        counted = [m.size >= min(RUN_WORDS, len(item)) for m in blocks]
-        for order in (range(1, len(blocks)), range(len(blocks) - 2, -1, -1)):
-            for k in order:
-                prev = k - 1 if order.step > 0 else k + 1
-                a, c = (blocks[prev], blocks[k]) if prev < k else (blocks[k], blocks[prev])
-                if counted[prev] and c.a - a.a - a.size <= 1 and c.b - a.b - a.size <= 1:
-                    counted[k] = True
-        best = max(best, sum(m.size for m, ok in zip(blocks, counted) if ok))
-    return best / len(item) if item else 0.0
+    best, n = 0, len(item)
+    if not n:
+        return 0.0
+    least = min(RUN_WORDS, n)
+    size = max(n + 2 * SHINGLE, int(window * n))
+    step = max(1, size // 8)
+    at = word_masks(item) if at is None else at
+    found = list(map(at.get, text))
+    masks = list(filter(None, found))
+    # nor can any part of the text where the whole stays below
+    if len(masks) < floor * n or in_order(masks, n) < floor * n:
+        return 0.0
+    places = [k for k, m in enumerate(found) if m]
+    for start in range(0, max(1, len(text) - size + step), step):
+        lo, hi = bisect_left(places, start), bisect_left(places, start + size)
+        if hi - lo <= best or hi - lo < floor * n:
+            continue
+        bound = in_order(masks[lo:hi], n)
+        if bound <= best or bound < floor * n:
+            continue
+        part = text[start : start + size]
+        best = max(best, _greedy(item, part, least))
+        if best < floor * n:  # the greedy blocks may miss the best alignment
+            best = max(best, _aligned(item, part, least))
+    return best / n
 
 
 def _verify(items: ItemSet, least: float, window: float):
@@ -165,7 +285,7 @@ def _verify(items: ItemSet, least: float, window: float):
                 for f in found:
                     item = items.words[f["item"]]
                     lo, hi = max(0, f["first"] - len(item)), f["last"] + len(item) + SHINGLE
-                    share = carried_share(item, words[lo:hi], window)
+                    share = carried_share(item, words[lo:hi], window, least, items.masks[f["item"]])
                     if share >= least:
                         out_d.append(i), out_i.append(items.ids[f["item"]]), out_s.append(share)
             yield pa.RecordBatch.from_arrays([pa.array(out_d, pa.int64()), pa.array(out_i, pa.int64()), pa.array(out_s, pa.float64())], ["doc_id", "item_id", "carried"])

@@ -190,6 +190,23 @@ def test_leaks_whole_half_and_changed(spark, work):
     assert leakage.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([], "item_id long, item_text string"), work).count() == 0
 
 
+def test_leaks_with_every_few_words_changed(spark, work):
+    rng = random.Random(18)
+    voc = [f"v{k}" for k in range(3000)]
+    item = [rng.choice(voc) for _ in range(90)]
+    docs, want = [], set()
+    for step in range(4, 9):
+        for whole in (True, False):
+            length = 90 if whole else 46 * step // (step - 1) + 1
+            at = rng.randrange(90 - length + 1)
+            copy = [w if (k + 1) % step else rng.choice(voc) for k, w in enumerate(item[at : at + length])]
+            docs.append((len(docs), " ".join([rng.choice(voc) for _ in range(150)] + copy + [rng.choice(voc) for _ in range(70)])))
+            want.add((len(docs) - 1, 1))
+    docs += [(100, " ".join(rng.choice(voc) for _ in range(300))), (101, " ".join(item[:38] + [rng.choice(voc) for _ in range(200)]))]
+    got = leakage.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, item_text string"), work)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+
+
 def test_statistics_of_odd_texts():
     for text in (None, "", "   ", "\n", "x", "。" * 10, "|" * 5000, "word " * 50_000):
         s = quality.statistics(text)
