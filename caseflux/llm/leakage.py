@@ -109,39 +109,47 @@ def _hits(items: ItemSet):
     return run
 
 
-def _windows(at: list[int], shingles: list[int], cover: dict[int, int], least: float, span: int) -> tuple[int, int] | None:
-    """First and last place of the blocks whose shingles cover ``least`` words of the item.
+def _windows(at: list[int], shingles: list[int], cover: dict[int, int], least: float, span: int) -> list[tuple[int, int]]:
+    """First and last hit of each stretch whose shingles cover ``least`` words of the item.
 
-    Blocks are two spans long and start every span, so one holds any window.
+    Blocks are two spans long and start every span, so one holds any window;
+    blocks that follow each other become one stretch, others stay apart.
     """
-    if at[-1] - at[0] <= 2 * span:
-        whole = 0
-        for x in set(shingles):
-            whole |= cover[x]
-        return (at[0], at[-1]) if whole.bit_count() >= least else None
     masks: dict[int, int] = {}
     for p, x in zip(at, shingles):
         k, m = p // span, cover[x]
         masks[k] = masks.get(k, 0) | m
         masks[k - 1] = masks.get(k - 1, 0) | m
-    kept = {k for k, m in masks.items() if m.bit_count() >= least}
-    if not kept:
-        return None
-    inside = [p for p in at if p // span in kept or p // span - 1 in kept]
-    return inside[0], inside[-1]
+    spans = sorted({k + j for k, m in masks.items() if m.bit_count() >= least for j in (0, 1)})
+    out: list[tuple[int, int]] = []
+    for k in spans:
+        lo, hi = bisect_left(at, k * span), bisect_left(at, (k + 1) * span)
+        if lo == hi:
+            continue
+        if out and k - out[-1][1] // span <= 1:
+            out[-1] = (out[-1][0], at[hi - 1])
+        else:
+            out.append((at[lo], at[hi - 1]))
+    return out
 
 
 def _candidates(items: ItemSet, df: np.ndarray, share: float, window: float):
+    """Documents and items that the prefix, length, coverage and position bounds leave."""
     prefix = items.prefix(df, share)
     flags = np.zeros(len(items.keys), bool)
     flags[list(prefix)] = True
-    # (shingle, item) by shingle
-    shingle = np.concatenate([*items.of_item, np.zeros(0, np.int64)]).astype(np.int64)
-    item = np.repeat(np.arange(len(items.of_item)), items.size)
+    # every place of every shingle in the items, by shingle
+    placed = [np.searchsorted(items.keys, shingle_hashes(w, items.k)) for w in items.words]
+    shingle = np.concatenate([*placed, np.zeros(0, np.int64)])
+    item = np.repeat(np.arange(len(placed)), [len(x) for x in placed])
+    place = np.concatenate([*(np.arange(len(x)) for x in placed), np.zeros(0, np.int64)]).astype(np.int64)
     by = np.argsort(shingle, kind="stable")
-    first, item = np.searchsorted(shingle[by], np.arange(len(items.keys) + 1)), item[by]
-    asks = np.array([n in prefix.get(x, ()) for x, n in zip(shingle[by].tolist(), item.tolist())], bool)
+    shingle, item, place = shingle[by], item[by], place[by]
+    first = np.searchsorted(shingle, np.arange(len(items.keys) + 1))
+    asks = np.array([n in prefix.get(x, ()) for x, n in zip(shingle.tolist(), item.tolist())], bool)
     needs = np.maximum(1, np.ceil(share * items.size)).astype(np.int64)
+    covers = LEAST_COVERED * items.length
+    width = int(items.length.max(initial=0)) + items.k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -157,20 +165,26 @@ def _candidates(items: ItemSet, df: np.ndarray, share: float, window: float):
                 enough = (np.bincount(n, minlength=len(needs)) >= needs) & (np.bincount(n[asks[x]], minlength=len(needs)) > 0)
                 if not enough.any():
                     continue
-                hit = np.repeat(np.arange(len(s)), size)
+                covered = np.zeros((len(needs), width), bool)
+                for j in range(items.k):
+                    covered[n, place[x] + j] = True
+                enough &= covered.sum(axis=1) >= covers
+                if not enough.any():
+                    continue
                 kept = enough[n]
-                n, hit = n[kept], hit[kept]
+                hit = np.repeat(np.arange(len(s)), size)[kept]
+                n = n[kept]
                 order = np.argsort(n, kind="stable")
                 n, hit = n[order], hit[order]
                 cuts = np.flatnonzero(np.diff(n)) + 1
                 for one, ks in zip(n[np.concatenate([[0], cuts])].tolist(), np.split(hit, cuts)):
                     need, at = int(needs[one]), p[ks]
-                    span = window * items.length[one]
+                    span = int(window * items.length[one]) + 1
+                    if at[-1] - at[0] <= 2 * span:
+                        out.append((i, one, at[0], at[-1]))
                     # position bound: enough of the item's shingles within one window
-                    if not (at[need - 1 :] - at[: len(at) - need + 1] <= span).any():
-                        continue
-                    if spread := _windows(at.tolist(), s[ks].tolist(), items.cover[one], LEAST_COVERED * items.length[one], int(span) + 1):
-                        out.append((i, one, *spread))
+                    elif (at[need - 1 :] - at[: len(at) - need + 1] <= span).any():
+                        out += [(i, one, *w) for w in _windows(at.tolist(), s[ks].tolist(), items.cover[one], covers[one], span)]
             if out:
                 a = [pa.array(c) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays([a[0].cast(pa.int64()), a[1].cast(pa.int32()), a[2].cast(pa.int32()), a[3].cast(pa.int32())], ["doc_id", "item", "first", "last"])
@@ -313,9 +327,9 @@ def find_leaks(documents: DataFrame, items: DataFrame, work: Workspace, least: f
     df[counted["s"].to_numpy(np.int64)] = counted["df"].to_numpy(np.int64)
     near = hits.mapInArrow(_candidates(listed, df, share, window), "doc_id long, item int, first int, last int")
     near = work.save(near.groupBy("doc_id").agg(F.collect_set(F.struct("item", "first", "last")).alias("found")), "near")
-    n = near.count()
+    n, found = near.agg(F.count("*"), F.coalesce(F.sum(F.size("found")), F.lit(0))).first()
     # the documents of the candidates are read again; a broad net is joined by shuffle
-    asked = broadcast_if_small(near.select("doc_id", "found"), n, 200)
+    asked = broadcast_if_small(near.select("doc_id", "found"), n * 48 + found * 32, 1)
     texts = read.join(asked, "doc_id").select("doc_id", "text", "found")
     found = texts.mapInArrow(_verify(listed, least, window), "doc_id long, item_id long, carried double")
     return found.groupBy("doc_id", "item_id").agg(F.max("carried").alias("carried"))
