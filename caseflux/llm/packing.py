@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import base64
 import bisect
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +41,9 @@ def tokenizer(path: str):
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _counter(path: str):
+def _counter(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = tokenizer(path).encode_ordinary
+        count = tokenizer(SparkFiles.get(name)).encode_ordinary
         for b in batches:
             n = [len(count(t)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["doc_id", "tokens"])
@@ -50,9 +52,13 @@ def _counter(path: str):
 
 
 def token_counts(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """(doc_id, tokens) of every document with a text; each row is one item."""
+    """(doc_id, tokens) of every document with a text; each row is one item.
+
+    The vocabulary file at ``path`` is needed by the driver alone, which hands it to the executors.
+    """
+    documents.sparkSession.sparkContext.addFile(path)
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    return read.mapInArrow(_counter(path), "doc_id long, tokens long")
+    return read.mapInArrow(_counter(os.path.basename(path)), "doc_id long, tokens long")
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -71,39 +77,56 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _completions(counts: dict[int, int], order: list[int], free: int, waste: int, budget: list[int]) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``free`` from the sizes left, least waste first.
+def _completions(counts: dict[int, int], order: list[int], free: int, low: int, high: int, budget: list[int]) -> Iterator[tuple[int, ...]]:
+    """Undominated fillings of ``free`` that waste ``low`` to ``high``, one at a time.
 
-    A filling is dominated if one of its sizes could be exchanged for a larger
-    one that is left, or another size added; fillings that waste more than
-    ``waste`` are pruned.
+    ``order`` has the sizes left, largest first.  A filling is dominated if
+    another size fits beside it, or if one of its sizes could be exchanged for
+    a larger one that is left.  Nothing but the budget ends the enumeration.
     """
-    found: list[tuple[int, tuple[int, ...]]] = []
-
-    def grow(at: int, left: int, taken: tuple[int, ...]) -> None:
+    rising = order[::-1]
+    used: dict[int, int] = {}
+
+    def has(s: int) -> bool:
+        return counts[s] > used.get(s, 0)
+
+    def dominated(left: int) -> bool:
+        if not left:
+            return False
+        if any(has(s) for s in rising[: bisect.bisect_right(rising, left)]):
+            return True
+        return any(has(o) for s in set(taken) for o in rising[bisect.bisect_right(rising, s) : bisect.bisect_right(rising, s + left)])
+
+    taken: list[int] = []
+    at, left = 0, free
+    while budget[0] > 0:
         budget[0] -= 1
-        if len(found) >= 64 or budget[0] <= 0:
-            return
-        smallest_fits = False
-        for k in range(at, len(order)):
+        k = max(at, len(order) - bisect.bisect_right(rising, left))
+        while k < len(order) and not has(order[k]):
+            k += 1
+        if k < len(order):
             s = order[k]
-            if s > left or counts[s] - taken.count(s) <= 0:
-                continue
-            smallest_fits = True
-            grow(k, left - s, (*taken, s))
-            if found and found[-1][0] == 0:
-                return
-        if not smallest_fits and left <= waste:
-            found.append((left, taken))
-
-    grow(0, free, ())
-    kept: list[tuple[int, tuple[int, ...]]] = []
-    for left, taken in sorted(found, key=lambda f: (f[0], len(f[1]))):
-        # exchange test: a larger size that is left would fit in place of one taken
-        if any(any(s < o <= s + left and counts[o] - taken.count(o) > 0 for o in order) for s in set(taken)) and kept:
+            taken.append(s)
+            used[s] = used.get(s, 0) + 1
+            left -= s
+            at = k
             continue
-        kept.append((left, taken))
-    return [t for _, t in kept[:4]]
+        if low <= left <= high and not dominated(left):
+            yield tuple(taken)
+        if not taken:
+            return
+        s = taken.pop()
+        used[s] -= 1
+        left += s
+        at = len(order) - bisect.bisect_left(rising, s)
+
+
+def _fillings(counts: dict[int, int], free: int, waste: int, budget: list[int]) -> Iterator[tuple[int, ...]]:
+    """Fillings without waste first, then those that waste up to ``waste``."""
+    order = sorted((s for s, c in counts.items() if c > 0), reverse=True)
+    yield from _completions(counts, order, free, 0, 0, budget)
+    if waste > 0:
+        yield from _completions(counts, order, free, 1, waste, budget)
 
 
 def bin_completion(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list[list[int]]:
@@ -111,8 +134,15 @@ def bin_completion(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODE
 
     Depth-first: the largest item left opens a container, undominated fillings
     complete it.  A branch is cut when the waste so far leaves no better result
-    than the incumbent, which starts as best-fit decreasing.
+    than the incumbent, which starts as best-fit decreasing.  If the search
+    ends before ``nodes`` steps are spent, no packing has fewer containers.
+    Empty items take no room and lie in the first container.
     """
+    some = [i for i, s in enumerate(sizes) if s > 0]
+    if len(some) < len(sizes):
+        packed = [[some[k] for k in items] for items in bin_completion([sizes[i] for i in some], capacity, nodes)] or [[]]
+        packed[0] += [i for i, s in enumerate(sizes) if s <= 0]
+        return packed
     best = best_fit(sizes, capacity)
     total = sum(sizes)
     bound = -(-total // capacity)
@@ -122,40 +152,41 @@ def bin_completion(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODE
     for s in sizes:
         counts[s] = counts.get(s, 0) + 1
     budget = [nodes]
-    goal = len(best)
+    goal, rest = len(best), len(sizes)
     answer: list[tuple[int, ...]] | None = None
     chosen: list[tuple[int, ...]] = []
-    # an explicit stack: deep shards would exceed the recursion limit
-    stack: list[tuple[str, tuple[int, ...], int]] = [("visit", (), 0)]
+    # each open container: its largest item, the fillings still to try, the waste before it
+    stack: list[tuple[int, Iterator[tuple[int, ...]], int]] = []
+
+    def open_container(waste: int) -> None:
+        big = max(s for s, c in counts.items() if c > 0)
+        counts[big] -= 1
+        stack.append((big, _fillings(counts, capacity - big, (goal - 1) * capacity - total - waste, budget), waste))
+
+    open_container(0)
     while stack and budget[0] > 0 and goal > bound:
-        kind, filling, waste = stack.pop()
-        if kind == "undo":
-            for s in filling:
+        big, fillings, waste = stack[-1]
+        if len(chosen) == len(stack):  # take back the filling tried last
+            last = chosen.pop()
+            rest += len(last)
+            for s in last[1:]:
                 counts[s] += 1
-            chosen.pop()
+        filling = next(fillings, None) if (goal - 1) * capacity - total - waste >= 0 else None
+        if filling is None:
+            counts[big] += 1
+            stack.pop()
             continue
-        if filling:
-            for s in filling:
-                counts[s] -= 1
-            chosen.append(filling)
-            stack.append(("undo", filling, 0))
-        budget[0] -= 1
-        order = sorted((s for s, c in counts.items() if c > 0), reverse=True)
-        if not order:
+        for s in filling:
+            counts[s] -= 1
+        chosen.append((big, *filling))
+        rest -= len(filling) + 1
+        if not rest:
             if len(chosen) < goal:
                 goal, answer = len(chosen), list(chosen)
             continue
-        # containers that the waste so far and the rest must take
-        allowance = (goal - 1) * capacity - total - waste
-        if allowance < 0:
-            continue
-        big = order[0]
-        counts[big] -= 1
-        rest = [s for s in order if counts[s] > 0]
-        options = _completions(counts, rest, capacity - big, allowance, budget)
-        counts[big] += 1
-        for o in reversed(options):
-            stack.append(("visit", (big, *o), waste + capacity - big - sum(o)))
+        waste += capacity - big - sum(filling)
+        if (goal - 1) * capacity - total - waste >= 0:
+            open_container(waste)
     if answer is None:
         return best
     by_size: dict[int, list[int]] = {}
@@ -186,17 +217,20 @@ def pack_documents(documents: DataFrame, work: Workspace, capacity: int = CAPACI
     rows are items of their own; an empty table gives no row.
     """
     counted = work.save(token_counts(documents, path), "token_counts")
-    pieces = counted.select("doc_id", "tokens", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("tokens") / capacity).cast("int") - 1, F.lit(0)))).alias("piece"))
-    pieces = pieces.select("doc_id", "piece", (F.col("piece") * capacity).cast("long").alias("first_token"), F.least(F.col("tokens") - F.col("piece") * capacity, F.lit(capacity)).cast("long").alias("tokens"))
+    # rows of one id and length differ by their number alone, so the shards do not depend on the partitioning
+    copies = counted.groupBy("doc_id", "tokens").agg(F.count("*").alias("c"))
+    counted = copies.select("doc_id", "tokens", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("copy"))
+    pieces = counted.select("doc_id", "copy", "tokens", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("tokens") / capacity).cast("int") - 1, F.lit(0)))).alias("piece"))
+    pieces = pieces.select("doc_id", "copy", "piece", (F.col("piece") * capacity).cast("long").alias("first_token"), F.least(F.col("tokens") - F.col("piece") * capacity, F.lit(capacity)).cast("long").alias("tokens"))
     open_pieces = pieces.where(F.col("tokens") < capacity)
     n = open_pieces.count()
     shards = max(1, -(-n // shard_items))
     # rows of one id spread by their number too, so no id can fill a shard
-    spread = open_pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "tokens", F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
+    spread = open_pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "copy", "piece", "tokens"), F.lit(shards)).cast("int"))
     schema = "doc_id long, piece int, first_token long, tokens long, shard int, container int"
     # a shard is minutes of search in few bytes: a partition count of its own keeps shards from being coalesced
-    packed = spread.repartition(min(shards, MOST_PARTITIONS), "shard").groupBy("shard").applyInPandas(_pack(capacity), schema)
+    packed = spread.drop("copy").repartition(min(shards, MOST_PARTITIONS), "shard").groupBy("shard").applyInPandas(_pack(capacity), schema)
     packed = packed.withColumn("container_id", F.concat_ws("-", F.lit("s"), "shard", "container")).drop("shard", "container")
     # full pieces are containers of their own
-    full = pieces.where(F.col("tokens") == capacity).withColumn("container_id", F.concat_ws("-", F.lit("d"), "doc_id", "piece"))
+    full = pieces.where(F.col("tokens") == capacity).withColumn("container_id", F.concat_ws("-", F.lit("d"), "doc_id", "piece", "copy")).drop("copy")
     return packed.unionByName(full)
