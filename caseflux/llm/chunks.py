@@ -2,9 +2,10 @@
 
 A text is normalised to its lower-cased words, one blank between them.  A
 rolling hash over ``WINDOW`` bytes sets the chunk boundaries, so an edit moves
-only the boundaries near it.  The chunk table (chunk, record, bytes) persists;
-a new batch looks up its own chunks in it, sums the shared bytes by record and
-decides by coverage.  What the batch brings is then appended.  Coverage says
+only the boundaries near it.  The chunk table (chunk -> record) persists under
+a path; a new batch is the only thing that is chunked, it looks up its own
+chunks in the table, sums the shared bytes by record and decides by coverage.
+What the batch brings is appended after it has been answered.  Coverage says
 nothing of reordered words; texts it leaves undecided go to ``wordlookup``.
 """
 
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflux.llm import wordlookup as wl
@@ -34,6 +35,8 @@ SEEN_CLASSES = 500_000
 SKETCH = 128
 #: Standard deviations below the expected agreement at which a pair is left out.
 SKETCH_SLACK = 3.0
+#: Parts of the chunk table by chunk; a batch reads those that its chunks fall into.
+BUCKETS = 16
 
 _MULT = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_MULT, -1, 1 << 64)
@@ -135,46 +138,80 @@ def chunk_records(texts: DataFrame, id_col: str, text: str, order: tuple[np.ndar
 class ChunkIndex:
     """The persistent chunk-to-record table, kept as Parquet under ``path``.
 
-    ``append`` adds a batch's records; ``candidates`` compares a batch with
-    all that was appended, reading the table by the batch's own chunks.
-    Records are word-set classes: exact copies share one entry.
+    ``append`` adds the records of a batch and nothing else; ``candidates``
+    compares a batch with all that was appended before it and with itself.
+    Opening an existing path goes on with what it holds: the order of words
+    (fixed when the index is made), postings by bucket, the records by class
+    and the ids.  Records are word-set classes: exact copies share one entry.
     """
 
-    def __init__(self, work: Workspace, name: str = "chunk_index"):
-        self.work, self.spark = work, work.spark
-        self.path, self.records_path = f"{work.root}/{name}/postings", f"{work.root}/{name}/records"
+    RECORD = "h long, n int, s0 long, s1 long, chunks array<long>, sizes array<int>, fp binary, prefix array<long>"
+    POSTING = "chunk long, h long, s0 long, s1 long, bucket int"
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.buckets = spark, path, buckets
+
+    def _has(self, name: str) -> bool:
+        sc = self.spark.sparkContext
+        at = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/_SUCCESS")
+        return at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at)
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        if not self._has(name):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+
+    def _write(self, rows: DataFrame, name: str, by: str | None = None) -> None:
+        out = rows.write.mode("append").option("compression", "zstd")
+        (out.partitionBy(by) if by else out).parquet(f"{self.path}/{name}")
+
+    def order(self, texts: DataFrame, id_col: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The order of words of this index; taken from ``texts`` when the index is new."""
+        if not self._has("order"):
+            w, rank = wl.word_order(texts, id_col, text)
+            self._write(self.spark.createDataFrame(pa.table({"w": w, "rank": rank})), "order")
+        rows = self._read("order", "w long, rank long").toPandas().sort_values("w")
+        return rows["w"].to_numpy(np.int64), rows["rank"].to_numpy(np.int64)
 
     def append(self, records: DataFrame) -> None:
-        """Appends (h, s0, s1, chunks, sizes); a class may come from several tasks."""
-        kept = records.select("h", "s0", "s1", "chunks", "sizes").where(F.size("chunks") > 0)
-        kept.write.mode("append").option("compression", "zstd").parquet(self.records_path)
-        self.spark.read.schema(kept.schema).parquet(self.records_path).select(F.explode(F.array_distinct("chunks")).alias("chunk"), "h", "s0", "s1").write.mode("append").option("compression", "zstd").parquet(self.path)
+        """Adds the output of ``chunk_records``; the ids come last, so an append that breaks off is taken up again."""
+        once = records.where(F.size("chunks") > 0)
+        bucket = F.pmod("chunk", F.lit(self.buckets)).cast("int").alias("bucket")
+        self._write(postings(once).select("*", bucket), "postings", "bucket")
+        self._write(once.select("h", "n", "s0", "s1", "chunks", "sizes", "fp", "prefix"), "records")
+        self._write(records.select("id", "h").distinct(), "ids")
 
-    def table(self) -> DataFrame:
-        return self.spark.read.schema("chunk long, h long, s0 long, s1 long").parquet(self.path)
+    def ids(self) -> DataFrame:
+        """(id, h) of every article with a word that was appended."""
+        return self._read("ids", "id string, h long")
 
     def records(self) -> DataFrame:
-        return self.spark.read.schema("h long, s0 long, s1 long, chunks array<long>, sizes array<int>").parquet(self.records_path)
+        return self._read("records", self.RECORD)
+
+    def table(self, buckets: list[int]) -> DataFrame:
+        return self._read("postings", self.POSTING).where(F.col("bucket").isin(buckets)).drop("bucket")
 
-    def candidates(self, asking: DataFrame, t: float, coverage: float = COVERAGE, lookups: int = LOOKUPS) -> DataFrame:
+    def candidates(self, asking: DataFrame, work: Workspace, t: float, coverage: float = COVERAGE, lookups: int = LOOKUPS) -> DataFrame:
         """(q, h, coverage): records sharing at least ``coverage`` of a batch text's bytes.
 
-        ``asking`` has the classes of the batch as ``h``; they are in the table.
-        The frequency of the batch's chunks is counted over the table and each
-        batch text is looked up by its ``lookups`` rarest chunks that another
-        record has; entries whose sketch rules out Jaccard ``t`` fall away in
-        the join.  Coverage counts the shared bytes of all chunks.
+        ``asking`` has the records of the batch, which are not appended yet.
+        The frequency of the batch's chunks is counted over table and batch and
+        each batch text is looked up by its ``lookups`` rarest chunks that
+        another record has; entries whose sketch rules out Jaccard ``t`` fall
+        away in the join.  Coverage counts the shared bytes of all chunks.
         """
-        work = self.work
-        own = self.records().join(asking.select("h").distinct(), "h", "left_semi")
-        own = own.select(F.col("h").alias("q"), F.col("s0").alias("q0"), F.col("s1").alias("q1"), "chunks", "sizes").dropDuplicates(["q"])
+        own = asking.where(F.size("chunks") > 0).dropDuplicates(["h"])
+        own = own.select(F.col("h").alias("q"), F.col("s0").alias("q0"), F.col("s1").alias("q1"), "chunks", "sizes")
         own = work.save(own, "batch_records")
-        parts = work.save(own.select("q", "q0", "q1", F.explode(F.array_distinct("chunks")).alias("chunk")), "batch_chunks")
+        parts = work.save(postings(own.select(F.col("q").alias("h"), F.col("q0").alias("s0"), F.col("q1").alias("s1"), "chunks")), "batch_chunks")
+        touched = [r[0] for r in parts.select(F.pmod("chunk", F.lit(self.buckets)).cast("int").alias("b")).distinct().collect()]
+        everything = self.table(touched).unionByName(parts)
         mine = broadcast_if_small(parts.select("chunk").distinct(), parts.count(), 24)
-        counted = self.table().join(mine, "chunk", "left_semi").groupBy("chunk").agg(F.count("*").alias("df"), F.min("h").alias("low"), F.max("h").alias("high"))
+        counted = everything.join(mine, "chunk", "left_semi").groupBy("chunk").agg(F.count("*").alias("df"), F.min("h").alias("low"), F.max("h").alias("high"))
         counted = counted.where("low <> high").select("chunk", "df")
         rarest = (
-            parts.join(counted, "chunk")
+            parts.select(F.col("h").alias("q"), F.col("s0").alias("q0"), F.col("s1").alias("q1"), "chunk")
+            .join(counted, "chunk")
             .groupBy("q", "q0", "q1")
             .agg(F.slice(F.array_sort(F.collect_list(F.struct("df", "chunk"))), 1, lookups).alias("p"))
             .select("q", "q0", "q1", F.explode("p.chunk").alias("chunk"))
@@ -183,12 +220,17 @@ class ChunkIndex:
         # the batch's lookups are the smaller side; sent whole only while they are known to be small
         asked = broadcast_if_small(rarest, rarest.count(), 48)
         differ = F.bit_count(F.col("s0").bitwiseXOR(F.col("q0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("q1")))
-        near = self.table().join(asked, "chunk").where((F.col("q") != F.col("h")) & (differ <= sketch_limit(t))).select("q", "h").distinct()
+        near = everything.join(asked, "chunk").where((F.col("q") != F.col("h")) & (differ <= sketch_limit(t))).select("q", "h").distinct()
         near = work.save(near, "chunk_pairs")
-        theirs = self.records().select("h", F.col("chunks").alias("hc"))
+        theirs = self.records().select("h", "chunks").unionByName(own.select(F.col("q").alias("h"), "chunks")).select("h", F.col("chunks").alias("hc"))
         asked_h = near.select("h").distinct()
         theirs = theirs.join(broadcast_if_small(asked_h, near.count(), 24), "h", "left_semi").dropDuplicates(["h"])
         shared = F.expr("aggregate(arrays_zip(chunks, sizes), 0D, (s, c) -> s + if(array_contains(hc, c.chunks), c.sizes, 0))")
         total = F.expr("aggregate(sizes, 0D, (s, c) -> s + c)")
         covered = near.join(own.select("q", "chunks", "sizes"), "q").join(theirs, "h").withColumn("coverage", shared / total)
         return covered.where(F.col("coverage") >= coverage).select("q", "h", "coverage")
+
+
+def postings(records: DataFrame) -> DataFrame:
+    """(chunk, h, s0, s1): a row for each distinct chunk of each record."""
+    return records.select(F.explode(F.array_distinct("chunks")).alias("chunk"), "h", "s0", "s1")

@@ -167,6 +167,52 @@ def test_new_batch_texts_reordered_or_at_the_limit(spark, work):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_two_appends_equal_one_and_repeat_nothing(spark, work):
+    from caseflux.llm import chunks
+
+    rows = make(31, groups=20, per=2)
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "id string, text string, h string")
+    one, two = chunks.ChunkIndex(spark, f"{work.root}/one"), chunks.ChunkIndex(spark, f"{work.root}/two")
+    order = one.order(df, "id", "text")
+    assert all((x == y).all() for x, y in zip(order, one.order(df.where("false"), "id", "text")))  # fixed when made
+    records = work.save(chunks.chunk_records(df, "id", "text", order, 0.6), "both_records")
+    one.append(records)
+    two.append(records.where("id < 'g010'"))
+    before = two.table(list(range(chunks.BUCKETS))).count()
+    two.append(records.where("id >= 'g010'"))
+    every = lambda index: sorted(tuple(r) for r in index.table(list(range(chunks.BUCKETS))).distinct().collect())
+    assert every(one) == every(two)
+    added = sum(len(set(r["chunks"])) for r in records.where("id >= 'g010' and size(chunks) > 0").collect())
+    assert two.table(list(range(chunks.BUCKETS))).count() == before + added
+    assert one.table([3]).count() < one.table(list(range(chunks.BUCKETS))).count()
+
+
+def test_an_index_that_stays(spark, work):
+    import datetime as dt
+
+    rows = make(33, groups=15, per=3)
+    ids = [i for i, _ in rows]
+    articles = spark.createDataFrame([(*r, "x") for r in rows], "enriched_event_id string, summary string, chunks string")
+
+    def run(stands, states, path):
+        return {tuple(r) for r in incremental.repeats_of_new_batches(
+            spark.createDataFrame(stands, "batch_id string, enriched_event_id string"),
+            spark.createDataFrame([(b, dt.datetime(2024, k + 1, 1), s) for k, (b, s) in enumerate(states)], "batch_id string, opened_at timestamp, state string"),
+            articles, type(work)(spark, "again"), index_path=path).collect()}
+
+    stay = f"{work.root}/stays"
+    first = [("b1", i) for i in ids[::3]] + [("b2", i) for i in ids[1::3]]
+    later = [*first, *(("b3", i) for i in ids[2::3]), ("b3", ids[0])]
+    assert run(first, [("b1", "accepted"), ("b2", "new")], stay) == run(first, [("b1", "accepted"), ("b2", "new")], None)
+    n = spark.read.parquet(f"{stay}/ids").count()
+    want = run(later, [("b1", "accepted"), ("b2", "accepted"), ("b3", "new")], None)
+    assert run(later, [("b1", "accepted"), ("b2", "accepted"), ("b3", "new")], stay) == want and ("b3", ids[0]) in want
+    assert run(later, [("b1", "accepted"), ("b2", "accepted"), ("b3", "new")], stay) == want
+    kept = spark.read.parquet(f"{stay}/ids")
+    assert n <= len(ids) and kept.count() == kept.select("id").distinct().count() == len(ids)
+    assert run(first, [("b1", "accepted"), ("b2", "accepted")], None) == set()
+
+
 def test_word_lookup_loses_no_pair():
     import numpy as np
 
