@@ -1,10 +1,12 @@
 """Problem 2: text read in the wrong encoding, found and restored.
 
-Records are joined with clean near-twins on their text without non-ASCII
-characters; where such twins differ, the runs at the same place are aligned
-and give mappings garbled -> clean.  Each mapping is explained, if it can be,
-by a transformation (UTF-8 read in some other code page); the others are kept
-as they are.  Transformations and mappings are then applied to all records.
+Records are joined with near-twins on their text without non-ASCII characters;
+where such twins differ, the runs at the same place are aligned (a place is the
+text on one side of the run).  A run that is its twin's run read in some other way (UTF-8 bytes in another code page,
+once, twice or cut short; Windows signs as control characters) is garbled and
+gives evidence for that way of reading.  The code pages below are only the
+ways that may be learned: a way without evidence is never applied.  What was
+learned, ways and single mappings, is then applied to all records.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflux.llm import wordsets as ws
 from caseflux.session import Workspace
 
 # Code pages in which UTF-8 bytes are commonly read.
@@ -111,106 +112,155 @@ def _decode_double(run: str, codec: str) -> str | None:
     return out if out != run and _plausible(out) and all(ord(c) < 0x2E80 for c in out) else None
 
 
-def repair(text: str, mappings: dict[str, str] | None = None, codecs: tuple[str, ...] = SINGLE_BYTE) -> tuple[str, bool, bool]:
-    """(restored text, was it garbled, is nothing left that is lost)."""
-    if text.isascii() or not SUSPECT.search(text):
+ALL_WAYS = (*SINGLE_BYTE, *DOUBLE_BYTE, "control", "cut")
+
+
+def repair(text: str, mappings: dict[str, str] | None = None, ways: tuple[str, ...] = ALL_WAYS) -> tuple[str, bool, bool]:
+    """(restored text, was it garbled, is nothing left that is lost), by the given ways of reading."""
+    if text.isascii() or not SUSPECT.search(text) and not (mappings and any(m in text for m in mappings)):
         return text, False, True
     garbled = False
+    for bad, good in (mappings or {}).items():
+        if bad in text:
+            text, garbled = text.replace(bad, good), True
+    double = [c for c in DOUBLE_BYTE if c in ways]
     for _ in range(MAX_PASSES):
         before = text
-        for codec in codecs:
-            text = _pattern(codec).sub(lambda m, c=codec: _decode(m[0], c) or m[0], text)
-        if text == before:
-            text = RUN.sub(lambda m: next((x for c in DOUBLE_BYTE if (x := _decode_double(m[0], c))), m[0]), text)
+        for codec in ways:
+            if codec in SINGLE_BYTE:
+                text = _pattern(codec).sub(lambda m, c=codec: _decode(m[0], c) or m[0], text)
+        if text == before and double:
+            text = RUN.sub(lambda m: next((x for c in double if (x := _decode_double(m[0], c))), m[0]), text)
         if text == before:
             break
         garbled = True
-    for bad, good in (mappings or {}).items():
-        if bad in text:
-            text, garbled = text.replace(bad, good), True
-    if LOST.search(text):
-        # Windows quotation marks read as control characters
-        fixed = "".join(bytes([ord(c)]).decode("cp1252", "ignore") or c if "\x80" <= c <= "\x9f" else c for c in text)
-        text, garbled = fixed, True
-    if not garbled and _cut_quotes().search(text):
+    if "control" in ways and LOST.search(text):
+        text, garbled = "".join(map(_windows_sign, text)), True
+    garbled = garbled or "\ufffd" in text  # the sign of a failed reading, by definition
+    if not garbled and "cut" in ways and _cut_quotes().search(text):
         garbled = True
     return text, garbled, not LOST.search(text) and not _cut_quotes().search(text)
 
 
-def explain(bad: str, good: str) -> str:
-    """The code page that turns ``good`` into ``bad``, or an empty string."""
-    for codec in SINGLE_BYTE:
-        if _decode(bad, codec) == good:
-            return codec
-        twice = _pattern(codec).sub(lambda m, c=codec: _decode(m[0], c) or m[0], bad)
-        if twice != bad and _decode(twice, codec) == good:
-            return f"{codec} twice"
-    return next((c for c in DOUBLE_BYTE if _decode_double(bad, c) == good), "")
+def _windows_sign(c: str) -> str:
+    return bytes([ord(c)]).decode("cp1252", "ignore") or c if "\x80" <= c <= "\x9f" else c
 
 
-def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_readings(good: str) -> Iterator[str]:
+    """What is seen of the UTF-8 bytes of ``good`` in some code page when the last ones are lost."""
+    raw = good.encode("utf-8", "surrogatepass")
+    for codec in (*SINGLE_BYTE, *DOUBLE_BYTE):
+        for k in range(2, len(raw)):
+            seen = raw[:k].decode(codec, "ignore")
+            if seen and seen != good:
+                yield seen
+
+
+def readings(run: str) -> Iterator[tuple[str, str, str]]:
+    """(bad, good, way) that the run may be part of, on the strength of its characters alone."""
+    for codec in SINGLE_BYTE:
+        fixed = _pattern(codec).sub(lambda m, c=codec: _decode(m[0], c) or m[0], run)
+        if fixed != run:
+            yield run, fixed, codec
+    for codec in DOUBLE_BYTE:
+        fixed = _decode_double(run, codec)
+        if fixed:
+            yield run, fixed, codec
+    if LOST.search(run) and (fixed := "".join(map(_windows_sign, run))) != run:
+        yield run, fixed, "control"
+    if len(run) == 1 and run in PLAIN_SIGNS:
+        for bad in set(_cut_readings(run)):
+            yield bad, run, "cut"
+
+
+def _hypotheses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keys, runs, bad = [], [], []
-        for t in b.column(0).to_pylist():
-            if t.isascii():
-                keys.append(t), runs.append([]), bad.append(False)
-                continue
-            at, out = 0, []
-            for m in RUN.finditer(t):
-                out.append({"at": m.start() - at, "run": m[0]})
-                at += len(m[0])
-            keys.append(RUN.sub("", t)), runs.append(out), bad.append(repair(t)[1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([ws.word_hash(k) for k in keys], pa.int64()), pa.array(runs, pa.list_(pa.struct([("at", pa.int32()), ("run", pa.string())]))), pa.array(bad)], ["key", "runs", "bad"]
-        )
-
-
-def learn_mappings(texts: DataFrame) -> DataFrame:
-    """(bad, good, codec, support) from garbled texts (one string column) and clean near-twins.
-
-    Twins share the text without its non-ASCII characters; each key keeps its
-    distinct garbled forms and one clean form, so no group of copies is paired
-    with itself.  Runs at the same place are aligned.
-    """
-    rows = texts.where("length({0}) > 0".format(texts.columns[0])).mapInArrow(_skeletons, "key long, runs array<struct<at:int,run:string>>, bad boolean").distinct()
-    some = rows.where(F.size("runs") > 0)
-    clean = some.where("not bad").groupBy("key").agg(F.min("runs").alias("good_runs"))
-    pairs = some.where("bad").join(clean, "key").select(F.explode("runs").alias("b"), "good_runs")
-    pairs = pairs.select("b.run", F.expr("filter(good_runs, g -> g.at = b.at)[0].run").alias("good")).where("good is not null and good <> run")
-    codec = F.udf(explain, "string")
-    return pairs.groupBy(F.col("run").alias("bad"), "good").agg(F.count("*").alias("support")).withColumn("codec", codec("bad", "good"))
+        found = [x for run in b.column(0).to_pylist() for x in readings(run)]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in range(3)], ["bad", "good", "way"])
 
 
-def _repairer(mappings: dict[str, str], codecs: tuple[str, ...]):
+#: Characters on either side of a run in which near-twins must agree, blanks apart.
+BESIDE = 10
+
+
+def aligned_runs(texts: DataFrame) -> DataFrame:
+    """(key, run): every distinct run of non-ASCII characters by the ASCII text beside it.
+
+    Near-twins agree in the whole text, in the characters before the run, or in
+    those after it, once non-ASCII characters and blanks are taken out; the key
+    is any of these.
+    """
+    t = F.col(texts.columns[0])
+    runs = F.regexp_extract_all(t, F.lit("([^\\x00-\\x7f]+)"), F.lit(1))
+    between = F.transform(F.split(t, "[^\\x00-\\x7f]+"), lambda s: F.regexp_replace(s, "\\s+", ""))
+    rows = texts.where(t.rlike("[^\\x00-\\x7f]")).select(between.alias("b"), F.posexplode(runs).alias("k", "run"))
+    before, after = F.substring(F.col("b")[F.col("k")], -BESIDE, BESIDE), F.substring(F.col("b")[F.col("k") + 1], 1, BESIDE)
+    keys = F.array(F.when(F.length(before) >= BESIDE // 2, F.xxhash64(F.lit(0), before)), F.when(F.length(after) >= BESIDE // 2, F.xxhash64(F.lit(1), after)), F.xxhash64(F.lit(2), "b", "k"))
+    return rows.select(F.explode(keys).alias("key"), "run").where("key is not null").distinct()
+
+
+def learn_mappings(texts: DataFrame, work: Workspace) -> DataFrame:
+    """(bad, good, codec, support) from near-twins (one string column), support in places.
+
+    A run that may be its twin's run read in some way is held against the runs
+    of the same place by an equal join on place and text, so no group of twins
+    is paired with itself.  ``codec`` is the way, or ``other`` where several
+    characters stand for one at many places and no known way explains it.
+    """
+    placed = work.save(aligned_runs(texts), "aligned_runs")
+    known = work.save(placed.select("run").distinct().mapInArrow(_hypotheses, "bad string, good string, way string").distinct(), "readings")
+    seen = placed.join(known, placed["run"] == known["bad"]).select("key", "bad", "good", "way")
+    twins = placed.select("key", F.col("run").alias("good"))
+    proved = seen.join(twins, ["key", "good"]).groupBy("bad", "good", F.col("way").alias("codec")).agg(F.count("*").alias("support"))
+    strange = placed.join(known.select(F.col("bad").alias("run")).distinct(), "run", "left_anti").where(F.length("run") > 1)
+    single = F.when(F.length("good") == 1, F.col("good"))
+    plain = twins.groupBy("key").agg(F.min(single).alias("good"), F.max(single).alias("last")).where("good = last")
+    other = strange.join(plain, "key").groupBy(F.col("run").alias("bad"), "good").agg(F.count("*").alias("support")).select("bad", "good", F.lit("other").alias("codec"), "support")
+    return proved.unionByName(other)
+
+
+class Learned:
+    """Ways of reading by their evidence, and mappings that no way explains."""
+
+    #: Most bytes of single mappings that go to the executors, else an error.
+    MOST_BYTES = 16 << 20
+    #: Places at which twins must show a mapping that no way explains.
+    LEAST_PLACES = 4
+
+    def __init__(self, mappings: DataFrame, work: Workspace, name: str = "mappings"):
+        kept = work.save(mappings, name)
+        self.support = {r["codec"]: r["n"] for r in kept.where("codec <> 'other'").groupBy("codec").agg(F.sum("support").alias("n")).collect()}
+        self.ways = tuple(sorted(self.support, key=lambda w: (-self.support[w], ALL_WAYS.index(w))))
+        # a sequence that no way explains is replaced where many twins agree on what it was
+        other = kept.where("codec = 'other'").groupBy("bad").agg(F.min("good").alias("good"), F.max("good").alias("last"), F.sum("support").alias("n"))
+        other = other.where((F.col("good") == F.col("last")) & (F.col("n") >= self.LEAST_PLACES)).select("bad", "good")
+        if (other.agg(F.sum(F.octet_length("bad") + F.octet_length("good"))).first()[0] or 0) > self.MOST_BYTES:
+            raise ValueError("the mappings are too many to be sent to every executor")
+        self.mappings = {r["bad"]: r["good"] for r in sorted(other.collect(), key=lambda r: (-len(r["bad"]), r["bad"]))}
+
+
+def _repairer(mappings: dict[str, str], ways: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, out = b.column(0).to_pylist(), []
             for i, t in zip(ids, b.column(1).to_pylist()):
-                if t is not None and not t.isascii():
-                    fixed, garbled, whole = repair(t, mappings, codecs)
-                    if garbled:
-                        out.append({"id": i, "text": t, "restored": fixed, "complete": whole})
+                fixed, garbled, whole = repair(t, mappings, ways)
+                if garbled:
+                    out.append({"id": i, "text": t, "restored": fixed, "complete": whole})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("id", pa.string()), ("text", pa.string()), ("restored", pa.string()), ("complete", pa.bool_())]))
 
     return run
 
 
-def restore_garbled(rows: DataFrame, id_col: str, text: str, work: Workspace) -> DataFrame:
+def restore_garbled(rows: DataFrame, id_col: str, text: str, work: Workspace, learned: Learned | None = None) -> DataFrame:
     """(id, text, restored, complete) of the garbled records, once for each text.
 
-    ``complete`` is false where characters were lost for good.  Nulls, empty
-    and correct texts give no row; correct foreign letters stay as they are.
-    Mappings learned twice or more that no code page explains are applied as
-    they stand; their number is bounded by the sequences that aligned twins
-    show to be lost (control or replacement characters).
+    ``learned`` has what twins taught; it is learned from ``rows`` themselves
+    where it is not given.  ``complete`` is false where characters were lost
+    for good.  Nulls, empty and correct texts give no row; correct foreign
+    letters stay as they are.
     """
     read = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    suspect = F.col("text").rlike("[^\\x00-\\x7f]")
-    learned = learn_mappings(read.select("text")).where("support > 1").collect()
-    lossy = {r["bad"]: r["good"] for r in learned if not r["codec"] and LOST.search(r["bad"]) and not LOST.search(r["good"])}
-    weight: dict[str, int] = {}
-    for r in learned:
-        name = (r["codec"] or "").split(" ")[0]
-        weight[name] = weight.get(name, 0) + r["support"]
-    codecs = tuple(sorted(SINGLE_BYTE, key=lambda c: (-weight.get(c, 0), SINGLE_BYTE.index(c))))
-    return read.where(suspect).mapInArrow(_repairer(lossy, codecs), "id string, text string, restored string, complete boolean").dropDuplicates(["id", "text"])
+    read = read.where(F.col("text").rlike("[^\\x00-\\x7f]"))
+    learned = learned or Learned(learn_mappings(read.select("text"), work), work)
+    return read.mapInArrow(_repairer(learned.mappings, learned.ways), "id string, text string, restored string, complete boolean").dropDuplicates(["id", "text"])

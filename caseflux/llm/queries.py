@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +24,13 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _garbled(spark: SparkSession, d: str) -> DataFrame:
-    parts = (("summary", "extracted_event_details", "enriched_event_id"), ("title", RUN1, "deduplicated_event_id"))
-    out = None
-    for field, name, key in parts:
-        rows = encoding.restore_garbled(table(spark, d, name), key, field, Workspace(spark, "p2"))
-        rows = rows.select(F.lit(field).alias("field"), F.col("id").alias("record_id"), "restored", "complete")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    work = Workspace(spark, "p2")
+    parts = (("summary", table(spark, d, "extracted_event_details"), "enriched_event_id"), ("title", table(spark, d, RUN1), "deduplicated_event_id"))
+    # both columns teach: a way of reading seen in one is known in the other
+    texts = reduce(DataFrame.unionByName, [rows.select(F.col(field).alias("text")) for field, rows, _ in parts])
+    learned = encoding.Learned(encoding.learn_mappings(texts.where("text is not null"), work), work)
+    found = [encoding.restore_garbled(rows, key, field, work, learned).select(F.lit(field).alias("field"), F.col("id").alias("record_id"), "restored", "complete") for field, rows, key in parts]
+    return reduce(DataFrame.unionByName, found)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
