@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseflux.plans import checks, decisions, further, joins, ledger, registry, resolution, series, streams, survival  # noqa: F401  (they register themselves)
+from caseflux.plans import checks, decisions, further, identity, joins, kernels, ledger, registry, resolution, series, streams, survival  # noqa: F401  (they register themselves)
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES

@@ -66,17 +66,8 @@ def d34(spark, d):
     return rows.groupBy("primary_entity", F.col("event_date").cast("string").alias("day")).agg(F.min("enriched_event_id").alias("keep"), F.count("*").alias("n")).where("n > 1")
 
 
-@query("d16_best_title", None)
-def d16(spark, d):
-    """The best-scored member title of each incident; ties go to the lesser article id."""
-    rows = members(spark, d).join(events(spark, d).select("enriched_event_id", "title"), "enriched_event_id").where("title is not null")
-    best = rows.groupBy("deduplicated_event_id").agg(F.min(F.struct((-ti.title_score(F.col("title"))).alias("s"), "enriched_event_id", "title")).alias("b"))
-    return best.select("deduplicated_event_id", ti.clean_title(F.col("b.title")).alias("title"), (-F.col("b.s")).alias("score"))
 
 
-@query("x53_titles_without_dates", None)
-def x53(spark, d):
-    return events(spark, d).where("title is not null").select("enriched_event_id", ti.without_dates(F.col("title")).alias("title")).distinct()
 
 
 # Price of a thousand classified rows by model.

@@ -235,11 +235,6 @@ def d17(spark, d):
     return table(spark, d, "match_evidence").groupBy("decision_id").agg(F.round(F.max(s), 6).alias("similarity"))
 
 
-@query("d38_entity_kinds", "select entity_id, case when regexp_matches(lower(entity_name), '\\b(department|council|commission|authority|city)\\b') then 'government_body' when regexp_matches(lower(entity_name), '\\b(university|school|college|institute|learning)\\b') then 'education' else coalesce(entity_kind, 'unknown') end as kind from entities")
-def d38(spark, d):
-    low = F.lower("entity_name")
-    kind = F.when(low.rlike("\\b(department|council|commission|authority|city)\\b"), "government_body").when(low.rlike("\\b(university|school|college|institute|learning)\\b"), "education").otherwise(F.coalesce("entity_kind", F.lit("unknown")))
-    return table(spark, d, "entities").select("entity_id", kind.alias("kind"))
 
 
 @query("s02_keyword_scan", "select doc_id from documents where lang = 'en' and regexp_matches(lower(text), '(ransom|extortion|breach)') and not regexp_matches(lower(text), '(cookies|subscribe)') and n_chars >= 200")

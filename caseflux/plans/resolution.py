@@ -177,17 +177,8 @@ def d01(spark, d):
     return e.select(F.explode(F.array_distinct(nm.name_tokens(F.col("entity_name")))).alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") <= most)
 
 
-@query("d05_block_sizes", None)
-def d05(spark, d):
-    names = table(spark, d, "entities").select("entity_id", F.explode(nm.blocking_keys(F.col("entity_name"))).alias("block"))
-    return names.groupBy("block").agg(F.countDistinct("entity_id").alias("n")).where("n > 1")
 
 
-@query("d06_canonical_groups", None)
-def d06(spark, d):
-    """Organisation names of one canonical group: key and first telling word."""
-    e = table(spark, d, "entities").where("entity_kind = 'organisation'").select("entity_id", "entity_name", nm.name_key(F.col("entity_name")).alias("key"))
-    return e.groupBy("key").agg(F.count("*").alias("n"), F.max_by("entity_name", F.struct(F.length("entity_name"), "entity_name")).alias("preferred"))
 
 
 @query("d09_ubiquitous_names", f"with n as (select greatest(8, floor(count(distinct deduplicated_event_id) * 0.02)) as most from {RISKED}) select victim_organization_name as name, count(distinct deduplicated_event_id) as incidents from {RISKED} where victim_organization_name is not null group by 1 having count(distinct deduplicated_event_id) > (select most from n)")
