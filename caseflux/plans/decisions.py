@@ -43,27 +43,10 @@ def d29(spark, d):
     return verdict.groupBy("verdict", "decided_by").agg(F.count("*").alias("n"), F.round(F.avg("certainty"), 6).alias("certainty"))
 
 
-@query(
-    "d30_cluster_buckets",
-    f"with t as (select enriched_event_id, unnest(list_distinct(regexp_extract_all(lower(title), '[a-z0-9]+'))) as token from {EV} where title is not null), k as (select * from t where length(token) >= 4), n as (select greatest(3, floor(count(distinct enriched_event_id) * 0.03)) as most from {EV}) select token, count(distinct enriched_event_id) as n from k group by 1 having count(distinct enriched_event_id) between 2 and (select most from n)",
-)
-def d30(spark, d):
-    e = events(spark, d)
-    # one number: the ceiling follows the corpus
-    most = max(3, int(e.select("enriched_event_id").distinct().count() * 0.03))
-    tokens = e.select("enriched_event_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("title"), F.lit("[a-z0-9]+"), 0))).alias("token")).where("length(token) >= 4")
-    return tokens.groupBy("token").agg(F.countDistinct("enriched_event_id").alias("n")).where(F.col("n").between(2, most))
 
 
-@query("d31_partition_coverage", f"select enriched_event_id, count(*) as incidents from {MEMBERS} group by 1 having count(*) <> 1")
-def d31(spark, d):
-    return members(spark, d).groupBy("enriched_event_id").agg(F.count("*").alias("incidents")).where("incidents <> 1")
 
 
-@query("d34_same_entity_same_day", f"select primary_entity, event_date::varchar as day, min(enriched_event_id) as keep, count(*) as n from {EV} where trim(primary_entity) <> '' and event_date is not null group by 1, 2 having count(*) > 1")
-def d34(spark, d):
-    rows = events(spark, d).where("trim(primary_entity) <> '' and event_date is not null")
-    return rows.groupBy("primary_entity", F.col("event_date").cast("string").alias("day")).agg(F.min("enriched_event_id").alias("keep"), F.count("*").alias("n")).where("n > 1")
 
 
 

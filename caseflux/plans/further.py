@@ -86,18 +86,8 @@ def f22(spark, d):
     return table(spark, d, "documents").groupBy(kind.alias("source_type")).agg(F.count("*").alias("n"))
 
 
-@query("j16_first_existing_match", f"select n.enriched_event_id, min(o.enriched_event_id) as existing from {EV} n join {EV} o on o.primary_entity = n.primary_entity and o.event_date = n.event_date and o.enriched_event_id < n.enriched_event_id where n.status = 'Merged' and o.status = 'Active' and trim(n.primary_entity) <> '' group by 1")
-def j16(spark, d):
-    # the least existing article of the key decides, so each key sends one row
-    e = events(spark, d).where("trim(primary_entity) <> '' and event_date is not null")
-    old = e.where("status = 'Active'").groupBy("primary_entity", "event_date").agg(F.min("enriched_event_id").alias("existing"))
-    return e.where("status = 'Merged'").join(old, ["primary_entity", "event_date"]).where("existing < enriched_event_id").select("enriched_event_id", "existing")
-
-
-@query("j20_sibling_industry", f"select victim_organization_name, arg_min(industry, (-n, industry)) as industry from (select victim_organization_name, victim_organization_industry as industry, count(*) as n from {RISKED} where victim_organization_name is not null and victim_organization_industry is not null group by 1, 2) group by 1")
-def j20(spark, d):
-    rows = risks(spark, d).where("victim_organization_name is not null and victim_organization_industry is not null").groupBy("victim_organization_name", F.col("victim_organization_industry").alias("industry")).agg(F.count("*").alias("n"))
-    return rows.groupBy("victim_organization_name").agg(F.min(F.struct((-F.col("n")).alias("n"), "industry"))["industry"].alias("industry"))
+
+
 
 
 @query("w01_first_by_severity", f"select month, enriched_event_id from (select {MONTH} as month, enriched_event_id, row_number() over (partition by {MONTH} order by {SEV} desc, event_date, enriched_event_id) as k from {ACTIVE}) where k = 1")

@@ -220,19 +220,4 @@ def d21(spark, d):
     return rows.groupBy("deduplicated_event_id").agg(F.min(key)["enriched_event_id"].alias("enriched_event_id"))
 
 
-@query("d22_merged_fields", f"select x.deduplicated_event_id, max(e.records_affected) as records_affected, min(e.event_date)::varchar as event_date, count(*) as sources from {MEMBERS} x join {EV} e using (enriched_event_id) group by 1")
-def d22(spark, d):
-    rows = members(spark, d).join(events(spark, d), "enriched_event_id").groupBy("deduplicated_event_id")
-    return rows.agg(F.max("records_affected").alias("records_affected"), F.min("event_date").cast("string").alias("event_date"), F.count("*").alias("sources"))
 
-
-@query(
-    "j14_candidate_pairs",
-    f"with k as (select enriched_event_id as id, {KEY.format('primary_entity')} || '@' || strftime(event_date, '%Y-%m') as k from {EV} where trim(primary_entity) <> '' and event_date is not null), h as (select k from k group by 1 having count(*) >= 2) select count(*) as pairs, count(distinct a.k) as blocks from k a join k b on a.k = b.k and a.id < b.id where a.k in (select k from h)",
-)
-def j14(spark, d):
-    """Number of pairs of articles of one organisation and month."""
-    rows = events(spark, d).where("trim(primary_entity) <> '' and event_date is not null").select(F.concat(nm.name_key(F.col("primary_entity")), F.lit("@"), F.date_format("event_date", "yyyy-MM")).alias("k"))
-    sizes = rows.groupBy("k").agg(F.count("*").alias("n")).where("n >= 2")
-    # the number of pairs follows from the block sizes; no pair is built to be counted
-    return sizes.agg(F.coalesce(F.sum((F.col("n") * (F.col("n") - 1) / 2).cast("long")), F.lit(0)).alias("pairs"), F.count("*").alias("blocks"))
