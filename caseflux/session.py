@@ -2,7 +2,8 @@
 
 Every iterative operator cuts its lineage by writing a table into the folder
 that all executors share.  The folder is the cluster's ``spark.checkpoint.dir``;
-a private one is chosen only where that setting is absent (tests, a laptop).
+a private one is chosen only on a local master where that setting is absent
+(tests, a laptop).
 """
 
 from __future__ import annotations
@@ -62,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
         _OWN_DIR[app] = tempfile.mkdtemp(prefix="caseflux-")
@@ -99,6 +102,6 @@ class Workspace:
             pass
 
 
-def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only where ``rows * row_bytes`` is known to be in bounds."""
-    return F.broadcast(df) if rows * row_bytes <= limit else df
+def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, limit: int | None = None) -> DataFrame:
+    """Broadcast hint only where ``rows * row_bytes`` is known to be within ``limit`` (BROADCAST_BYTES)."""
+    return F.broadcast(df) if rows * row_bytes <= (BROADCAST_BYTES if limit is None else limit) else df
