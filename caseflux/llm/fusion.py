@@ -4,8 +4,8 @@ Members of a group claim values.  A two-sided latent truth model learns, for
 each source, how often it states a true value (sensitivity) and how often it
 keeps silent on a false one (specificity), by expectation-maximisation over
 the claims.  Every value judged true is kept for multi-valued fields; one
-survives: the rule of the caller (trust, then recency) comes first, and the
-model's belief decides what that rule leaves tied.
+survives: by belief, or by a rule of the caller (trust, then recency) that
+leaves to the belief what it ties.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from caseflux.session import Workspace
 
-ROUNDS = 6
+#: Rounds end when no sensitivity or specificity moves by more than this, or at the latest after so many.
+TOLERANCE, ROUNDS = 0.005, 30
 PRIOR_TRUE = 0.5
 # Pseudo-counts that keep sources of few claims near the start.
 SMOOTH_TRUE, SMOOTH_FALSE = (8.0, 2.0), (2.0, 8.0)
@@ -66,7 +67,7 @@ def usable_date(c: Column) -> Column:
     return F.when(when <= F.lit(LAST_DATE).cast("date"), when)
 
 
-def source_quality(claims: DataFrame, work: Workspace, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def source_quality(claims: DataFrame, work: Workspace, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
     """(facts with belief, sources with sensitivity and specificity).
 
     ``claims``: (topic, value, source), hashes of what is spoken of and of what
@@ -94,19 +95,25 @@ def source_quality(claims: DataFrame, work: Workspace, rounds: int = ROUNDS) ->
         total = F.col("yes") + F.col("no")
         t, f = F.col("n") * F.col("belief"), F.col("n") * (1 - F.col("belief"))
         rates = w.groupBy("source").agg(F.sum(t * F.col("yes")).alias("ty"), F.sum(t * total).alias("ta"), F.sum(f * F.col("yes")).alias("fy"), F.sum(f * total).alias("fa"))
+        before = quality
         quality = work.save(
             rates.select("source", ((F.col("ty") + SMOOTH_TRUE[0]) / (F.col("ta") + sum(SMOOTH_TRUE))).alias("sens"), ((F.col("fy") + SMOOTH_FALSE[0]) / (F.col("fa") + sum(SMOOTH_FALSE))).alias("fall")), f"quality{k}"
         )
+        old = before.select("source", F.col("sens").alias("s0"), F.col("fall").alias("f0"))
+        moved = quality.join(old, "source").agg(F.max(F.greatest(F.abs(F.col("sens") - F.col("s0")), F.abs(F.col("fall") - F.col("f0"))))).first()[0]
+        if moved is None or moved <= tolerance:
+            break
     believed = facts.join(beliefs(quality), "votes").select("topic", "value", "belief")
     return believed, quality.select("source", F.col("sens").alias("sensitivity"), (1 - F.col("fall")).alias("specificity"))
 
 
-def survivors(claims: DataFrame, work: Workspace, rounds: int = ROUNDS) -> DataFrame:
+def survivors(claims: DataFrame, work: Workspace, rounds: int = ROUNDS, by_belief: bool = False) -> DataFrame:
     """(group, field, member, value, belief, kept): one row for each field with a usable value.
 
     ``claims``: (group, field, value, member, source, weight, updated_at).
     Order: highest weight, latest update, highest belief, least member id;
-    unknown weights and times come last.  ``kept`` lists every value judged
+    unknown weights and times come last.  With ``by_belief`` the belief comes
+    first and decides wherever sources disagree.  ``kept`` lists every value judged
     true (belief of at least a half), the survivor's among them.  Null groups,
     fields, members and values claim nothing; repeated claims count once.
     """
@@ -115,9 +122,9 @@ def survivors(claims: DataFrame, work: Workspace, rounds: int = ROUNDS) -> DataF
     claims = work.save(hashed, "claims")
     believed, _ = source_quality(claims.select(F.col("_topic").alias("topic"), F.col("_said").alias("value"), "source"), work, rounds)
     ranked = claims.join(believed.select(F.col("topic").alias("_topic"), F.col("value").alias("_said"), "belief"), ["_topic", "_said"])
-    best = F.struct(
-        (-F.coalesce("weight", F.lit(-1.0))).alias("w"), (-F.coalesce(F.unix_micros(F.col("updated_at").cast("timestamp")), F.lit(-(2**62)))).alias("u"), (-F.col("belief")).alias("b"), "member", "value"
-    )
+    rule = [(-F.coalesce("weight", F.lit(-1.0))).alias("w"), (-F.coalesce(F.unix_micros(F.col("updated_at").cast("timestamp")), F.lit(-(2**62)))).alias("u")]
+    belief = [(-F.round("belief", 9)).alias("b")]
+    best = F.struct(*(belief + rule if by_belief else rule + belief), "member", "value")
     one = ranked.groupBy("group", "field").agg(F.min(best).alias("s"), F.array_sort(F.collect_set(F.when(F.col("belief") >= 0.5, F.col("value")))).alias("kept"))
     return one.select("group", "field", "s.member", "s.value", (-F.col("s.b")).alias("belief"), F.array_union("kept", F.array("s.value")).alias("kept"))
 

@@ -62,10 +62,10 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("id").alias("enriched_event_id"), F.col("h").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("label", "h").alias("group_id"))
 
 
-def _survivors(spark: SparkSession, d: str) -> DataFrame:
+def _survivors(spark: SparkSession, d: str, by_belief: bool = False) -> DataFrame:
     work = Workspace(spark, "p4")
     claims = fusion.snapshot_claims(table(spark, d, "snapshots"), table(spark, d, "match_evidence"), work)
-    return fusion.survivors(claims, work)
+    return fusion.survivors(claims, work, by_belief=by_belief)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -74,9 +74,9 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_records(spark: SparkSession, d: str) -> DataFrame:
-    """One record per incident, each field filled by its survivor, with all values judged true."""
+    """One record per incident, each field filled by the value believed most, with all values judged true."""
     fields = [*fusion.MEMBER_FIELDS, "event_date", "entity_canonical"]
-    rows = _survivors(spark, d).groupBy(F.col("group").alias("deduplicated_event_id")).pivot("field", fields).agg(F.first("value").alias("value"), F.first("kept").alias("kept"))
+    rows = _survivors(spark, d, by_belief=True).groupBy(F.col("group").alias("deduplicated_event_id")).pivot("field", fields).agg(F.first("value").alias("value"), F.first("kept").alias("kept"))
     return rows.select("deduplicated_event_id", *(F.col(f"{f}_value").alias(f) for f in fields), *(F.col(f"{f}_kept").alias(f"{f}_all") for f in fields))
 
 
