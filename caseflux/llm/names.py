@@ -1,9 +1,11 @@
 """Problem 6: variant spellings of names, linked to the listed entity they mean.
 
 Names become weighted character n-gram vectors; a sparse top-n cosine join
-against the listed entities gives candidates, which are thresholded and
-grouped by average linkage; a candidate is accepted only if its parts agree
-(distinctive part within a typing slip, other parts compatible).
+against the listed entities gives candidates.  All candidates of an entity,
+good and bad, are clustered by average linkage together with its proper name
+and the distinctive part of that; only those that cluster with either stay.  Of these a name is linked
+to the entity whose parts agree best (distinctive part within a typing slip,
+other parts compatible), if there is one.
 """
 
 from __future__ import annotations
@@ -22,14 +24,14 @@ from caseflux.session import Workspace
 
 TOP_N = 6
 MIN_COSINE = 0.2
-#: Average similarity to the entity's group below which a variant does not join it.
+#: Average similarity below which two clusters of an entity's candidates stay apart.
 LINKAGE = 0.25
-#: Variants of one entity that are grouped at a time; larger groups are cut by hash.
+#: Candidates of one entity that are clustered at a time, with its proper name; larger groups are cut by hash.
 GROUP_ROWS = 1000
 #: Listed entities are joined in blocks of this many; only a block is broadcast.
 BLOCK = 20_000
-#: A word found in this many listed names is an ordinary word, not a distinctive one.
-ORDINARY = 6
+#: A word found in this share of the listed names, and in so many at least, is ordinary and not distinctive.
+ORDINARY_SHARE, ORDINARY = 0.002, 6
 
 # Legal forms, titles, fillers, short forms and nicknames.
 LEGAL = {"pty", "ltd", "limited", "inc", "incorporated", "pl", "llc", "plc", "corp", "corporation", "co", "holdings", "holding", "group", "gmbh", "nl", "the"}
@@ -135,8 +137,9 @@ class EntityBlock:
             for g in set(bag):
                 df[g] = df.get(g, 0) + 1
         self.n = len(names)
-        self.idf = {g: float(np.log(1 + self.n / d)) for g, d in df.items()}
-        self.rare = float(np.log(1 + self.n))
+        # the weights of all blocks, where they are given, so that cosines do not depend on the cut
+        self.idf = idf or {g: float(np.log(1 + self.n / d)) for g, d in df.items()}
+        self.rare = max([*self.idf.values(), float(np.log(1 + self.n))])
         posting: dict[str, tuple[list[int], list[float]]] = {}
         for k, bag in enumerate(bags):
             v = self.vector(bag)
@@ -155,8 +158,7 @@ class EntityBlock:
     def split(self, ws: list[str]) -> tuple[str, list[str]]:
         """(distinctive letters, ordinary words) of a name."""
         kept = [w for w in ws if w not in LEGAL and w not in _JOINERS]
-        head = "".join(w.replace("-", "") for w in kept if w not in self.ordinary)
-        return head, [w for w in kept if w in self.ordinary]
+        return distinctive(ws, self.ordinary), [w for w in kept if w in self.ordinary]
 
     def vector(self, bag: list[str]) -> dict[str, float]:
         v: dict[str, float] = {}
@@ -235,90 +237,149 @@ class EntityBlock:
                 best = max(best, 2.0 - 0.5 * d)
         return best
 
-    def link(self, name: str) -> tuple[int, float] | None:
-        """(index, cosine) of the entity a name means; none if unlisted or in doubt."""
+    def candidates(self, name: str) -> list[tuple[int, float, float]]:
+        """(index, cosine, agreement) of the entities whose vectors are nearest to a name's."""
         if is_filler(name):
-            return None
+            return []
         ws = words(name)
         text = letters(ws)
         if not text:
-            return None
+            return []
         exact = self.by_words.get(text, -1)
         if exact >= 0:  # the same letters: cosine 1 with this entity alone
-            return exact, 1.0
-        near = self.nearest(text)
-        scored = sorted((x for x in ((self.agrees(ws, k), c, -k) for k, c in near) if x[0] > 0), reverse=True)
+            return [(exact, 1.0, 4.0)]
+        out = [(k, c, self.agrees(ws, k)) for k, c in self.nearest(text)]
         head = self.split(ws)[0]
-        if not scored and head and head != text:
+        if head and head != text and not any(a > 0 for _, _, a in out):
             # candidates by the distinctive part alone, which long ordinary parts drown
-            seen = {k for k, _ in near}
-            near = [(k, c) for k, c in self.nearest(head) if k not in seen]
-            scored = sorted((x for x in ((self.agrees(ws, k), c, -k) for k, c in near) if x[0] > 0), reverse=True)
+            seen = {k for k, _, _ in out}
+            out += [(k, c, a) for k, c in self.nearest(head) if k not in seen and (a := self.agrees(ws, k)) > 0]
+        return out
+
+    def link(self, name: str) -> tuple[int, float] | None:
+        """(index, cosine) of the entity a name means by its parts; none if unlisted or in doubt."""
+        scored = sorted(((a, c, -k) for k, c, a in self.candidates(name) if a > 0), reverse=True)
         if not scored or (len(scored) > 1 and scored[0][0] == scored[1][0] and abs(scored[0][1] - scored[1][1]) < 1e-6):
             return None
         return -scored[0][2], scored[0][1]
 
 
 def average_linkage(vectors: np.ndarray, least: float = LINKAGE) -> np.ndarray:
-    """Which rows join the group of row 0 by average linkage.
+    """Cluster number of each row by average linkage, cut at the similarity ``least``.
 
-    The row most similar to the group on average joins it, until none reaches
-    ``least``.  Rows are unit vectors, so the average is a product with the
-    sum of the group.
+    Rows are unit vectors.  Chains of nearest neighbours find the pairs that
+    merge; as an average never exceeds its parts, a cluster whose nearest
+    neighbour is below ``least`` is final.
     """
-    inside = np.zeros(len(vectors), bool)
-    inside[0] = True
-    score = vectors @ vectors[0]
-    size = 1
-    while not inside.all():
-        at = int(np.where(inside, -np.inf, score).argmax())
-        if score[at] / size < least:
-            break
-        inside[at] = True
-        score = score + vectors @ vectors[at]
-        size += 1
-    return inside
-
+    n = len(vectors)
+    s = vectors @ vectors.T
+    np.fill_diagonal(s, -1)
+    size, open_, parent = np.ones(n), np.ones(n, bool), np.arange(n)
+    chain: list[int] = []
+    while open_.any():
+        chain = chain or [int(open_.argmax())]
+        a = chain[-1]
+        b = int(s[a].argmax())
+        if s[a, b] < least:
+            open_[a] = False
+            s[a], s[:, a] = -1, -1
+            chain.pop()
+        elif len(chain) > 1 and s[a, chain[-2]] >= s[a, b]:
+            b = chain[-2]
+            both = (size[a] * s[a] + size[b] * s[b]) / (size[a] + size[b])
+            s[b], s[:, b] = both, both
+            s[b, b] = -1
+            s[a], s[:, a] = -1, -1
+            size[b] += size[a]
+            open_[a], parent[a] = False, b
+            chain = chain[:-2]
+        else:
+            chain.append(b)
+    while (parent[parent] != parent).any():
+        parent = parent[parent]
+    return parent
+
+
+def distinctive(ws: list[str], ordinary: set[str]) -> str:
+    """Letters of a name's words that are neither ordinary nor legal forms."""
+    return "".join(w.replace("-", "") for w in ws if w not in LEGAL and w not in _JOINERS and w not in ordinary)
+
+
+def _group(idf: dict[str, float], ordinary: set[str], least: float):
+    rare = max([*idf.values(), 1.0])
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """The candidates of one entity (and part) in the cluster of its proper name, or of its distinctive part."""
+        proper = words(rows["entity_name"].iloc[0])
+        bags = [grams(t) for t in (letters(proper), distinctive(proper, ordinary), *(letters(words(n)) for n in rows["name"]))]
+        known = {g: k for k, g in enumerate(sorted({g for b in bags for g in b}))}
+        m = np.zeros((len(bags), len(known)), np.float32)
+        for r, b in enumerate(bags):
+            for g in b:
+                m[r, known[g]] += idf.get(g, rare)
+        m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+        of = average_linkage(m, least)
+        return rows[(of[2:] == of[0]) | (of[2:] == of[1])][["name", "entity_id", "cosine", "agrees"]]
 
-def _group(rows: pd.DataFrame) -> pd.DataFrame:
-    """The variants of one entity (and block) that its average-linkage group holds."""
-    texts = [letters(words(rows["entity_name"].iloc[0])), *(letters(words(n)) for n in rows["name"])]
-    bags = [grams(t) for t in texts]
-    known = {g: k for k, g in enumerate(sorted({g for b in bags for g in b}))}
-    m = np.zeros((len(bags), len(known)), np.float32)
-    for r, b in enumerate(bags):
-        for g in b:
-            m[r, known[g]] += 1
-    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
-    return rows[average_linkage(m)[1:]][["name", "entity_id", "cosine"]]
+    return run
 
 
-def group_variants(linked: DataFrame, entities: DataFrame, rows: int = GROUP_ROWS) -> DataFrame:
-    """Linked names that their entity's average-linkage group keeps.
+def cluster_variants(candidates: DataFrame, entities: DataFrame, idf: dict[str, float], ordinary: set[str], rows: int = GROUP_ROWS, least: float = LINKAGE) -> DataFrame:
+    """The (name, entity_id, cosine, agrees) that cluster with the entity's proper name or its distinctive part.
 
     Names whose letters are the entity's own are in it by definition.  Groups
-    are cut into blocks of about ``rows`` variants by hash; every block has the
-    entity's proper name as its centre.
+    are cut into parts of about ``rows`` candidates by hash; every part has the
+    entity's proper name.
     """
-    same = linked.where("cosine >= 0.999999")
-    rest = linked.where("cosine < 0.999999")
+    same = candidates.where("cosine >= 0.999999")
+    rest = candidates.where("cosine < 0.999999")
     sizes = rest.groupBy("entity_id").agg(F.ceil(F.count("*") / rows).cast("int").alias("parts"))
     proper = entities.select(F.col("entity_id").cast("long").alias("entity_id"), "entity_name")
     placed = rest.join(sizes, "entity_id").join(proper, "entity_id").withColumn("part", F.pmod(F.xxhash64("name"), F.col("parts")))
-    kept = placed.groupBy("entity_id", "part").applyInPandas(_group, "name string, entity_id long, cosine double")
+    # minutes of clustering in few bytes: a partition count of its own keeps groups from being coalesced
+    placed = placed.repartition(4 * rest.sparkSession.sparkContext.defaultParallelism, "entity_id", "part")
+    kept = placed.groupBy("entity_id", "part").applyInPandas(_group(idf, ordinary, least), "name string, entity_id long, cosine double, agrees double")
     return same.unionByName(kept)
 
 
-def _linker(block: dict):
+def best_links(accepted: DataFrame) -> DataFrame:
+    """(name, entity_id, cosine): the accepted entity that agrees best, then the nearest; none where two are equal."""
+    order = F.struct((-F.col("agrees")).alias("a"), (-F.col("cosine")).alias("c"), "entity_id")
+    two = accepted.where("agrees > 0").groupBy("name").agg(F.slice(F.array_sort(F.collect_set(order)), 1, 2).alias("t"))
+    doubt = (F.size("t") > 1) & (F.col("t")[0]["a"] == F.try_element_at("t", F.lit(2))["a"]) & (F.abs(F.col("t")[0]["c"] - F.try_element_at("t", F.lit(2))["c"]) < 1e-6)
+    return two.where(~F.coalesce(doubt, F.lit(False))).select("name", F.col("t")[0]["entity_id"].alias("entity_id"), (-F.col("t")[0]["c"]).alias("cosine"))
+
+
+#: The index that this worker built last, by the key of its block.
+_BUILT: dict[str, EntityBlock] = {}
+
+
+def _index(key: str, block: dict) -> EntityBlock:
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = EntityBlock(**block)
+    return _BUILT[key]
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([sorted(set(grams(letters(words(n))))) for n in b.column(0).to_pylist()], pa.list_(pa.string()))], ["g"])
+
+
+def gram_weights(listed: DataFrame) -> dict[str, float]:
+    """Weight of each n-gram over all listed names; at most as many as there are n-grams of three letters."""
+    n = listed.count()
+    df = listed.select("entity_name").mapInArrow(_count_grams, "g array<string>").select(F.explode("g").alias("g")).groupBy("g").agg(F.count("*").alias("df"))
+    return {r["g"]: float(np.log(1 + n / r["df"])) for r in df.collect()}
+
+
+def _linker(key: str, sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = EntityBlock(**block)
+        index = _index(key, sent.value)
         for b in batches:
-            out_n, out_e, out_c = [], [], []
-            for name in b.column(0).to_pylist():
-                hit = index.link(name)
-                if hit:
-                    out_n.append(name), out_e.append(index.ids[hit[0]]), out_c.append(hit[1])
-            yield pa.RecordBatch.from_arrays([pa.array(out_n, pa.string()), pa.array(out_e, pa.int64()), pa.array(out_c, pa.float64())], ["name", "entity_id", "cosine"])
+            out = [(name, index.ids[k], c, a) for name in b.column(0).to_pylist() for k, c, a in index.candidates(name)]
+            n, e, c, a = zip(*out) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.string()), pa.array(e, pa.int64()), pa.array(c, pa.float64()), pa.array(a, pa.float64())], ["name", "entity_id", "cosine", "agrees"])
 
     return run
 
@@ -331,29 +392,29 @@ def link_names(names: DataFrame, entities: DataFrame, work: Workspace) -> DataFr
     name equal to an entity's proper name is linked to it.
 
     The entities are joined in blocks of BLOCK (id order), so what is sent to
-    the executors is bounded; of several blocks the best cosine wins.
+    the executors is bounded; weights and ordinary words are those of all
+    blocks, and the candidates of all blocks compete.
     """
-    col = names.columns[0]
+    spark, col = names.sparkSession, names.columns[0]
     distinct = work.save(names.select(F.col(col).alias("name")).where("trim(name) <> ''").distinct(), "names")
     listed = entities.select("entity_id", "entity_name", F.coalesce(F.col("entity_kind") == "individual", F.lit(False)).alias("person")).where("entity_id is not null and trim(entity_name) <> ''")
-    vocabulary = listed.where("not person").select(F.explode(F.array_distinct(F.split(F.lower("entity_name"), "[^\\p{L}\\p{N}]+"))).alias("w")).groupBy("w").agg(F.count("*").alias("c")).where(F.col("c") >= ORDINARY)
-    ordinary = {r["w"] for r in vocabulary.collect()}
-    lower, parts = None, []
+    often = max(ORDINARY, int(ORDINARY_SHARE * listed.count()))
+    vocabulary = listed.where("not person").select(F.explode(F.array_distinct(F.split(F.lower("entity_name"), "[^\\p{L}\\p{N}]+"))).alias("w")).groupBy("w").agg(F.count("*").alias("c")).where(F.col("c") >= often)
+    ordinary, idf = {r["w"] for r in vocabulary.collect()}, gram_weights(listed)
+    # the search is long and its input short: spread it over all cores
+    spread = distinct.repartition(4 * spark.sparkContext.defaultParallelism)
+    lower, found = None, None
     while True:
         page = listed if lower is None else listed.where(F.col("entity_id") > lower)
         rows = page.orderBy("entity_id").limit(BLOCK).collect()
         if not rows:
             break
-        block = {"ids": [r[0] for r in rows], "names": [r[1] for r in rows], "ordinary": ordinary, "person": [r[2] for r in rows]}
-        parts.append(distinct.mapInArrow(_linker(block), "name string, entity_id long, cosine double"))
+        block = {"ids": [r[0] for r in rows], "names": [r[1] for r in rows], "ordinary": ordinary, "person": [r[2] for r in rows], "idf": idf}
+        part = spread.mapInArrow(_linker(f"{work.root}/{rows[0][0]}", spark.sparkContext.broadcast(block)), "name string, entity_id long, cosine double, agrees double")
+        found = part if found is None else found.unionByName(part)
         lower = rows[-1][0]
         if len(rows) < BLOCK:
             break
-    if not parts:
+    if found is None:
         return distinct.select("name", F.lit(None).cast("long").alias("entity_id"), F.lit(None).cast("double").alias("cosine")).where("false")
-    found = parts[0]
-    if len(parts) > 1:
-        for p in parts[1:]:
-            found = found.unionByName(p)
-        found = found.groupBy("name").agg(F.max_by("entity_id", F.struct("cosine", -F.col("entity_id"))).alias("entity_id"), F.max("cosine").alias("cosine"))
-    return group_variants(work.save(found, "linked_names"), listed)
+    return best_links(cluster_variants(work.save(found, "candidates"), listed, idf, ordinary))

@@ -213,6 +213,14 @@ def test_an_index_that_stays(spark, work):
     assert run(first, [("b1", "accepted"), ("b2", "accepted")], None) == set()
 
 
+def test_new_batches_without_any_broadcast(spark, work, monkeypatch):
+    """Beyond the broadcast bound all joins are shuffled; the rows stay the same."""
+    from caseflux import session
+
+    monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
+    test_new_batches_against_history(spark, work)
+
+
 def test_word_lookup_loses_no_pair():
     import numpy as np
 

@@ -84,6 +84,53 @@ def test_latent_truth_model_trusts_the_reliable_source(spark, work):
     assert facts.where("value = 0").agg({"belief": "avg"}).first()[0] > 0.7 > facts.where("value <> 0").agg({"belief": "avg"}).first()[0]
 
 
+def test_beliefs_equal_plain_expectation_maximisation(spark, work):
+    import math
+
+    rng = random.Random(5)
+    rows = [(g, rng.choice([0, 0, 0, 1, 2]), s) for g in range(40) for s in ("a", "b", "c") if rng.random() < 0.8]
+    facts, sources = fusion.source_quality(spark.createDataFrame(rows, "topic long, value long, source string"), work, rounds=4, tolerance=0.0)
+    said = {}
+    for g, v, s in rows:
+        said.setdefault(g, {}).setdefault(s, []).append(v)
+    sens, fall = dict.fromkeys("abc", 0.8), dict.fromkeys("abc", 0.2)
+    stated = {(g, v) for g, v, _ in rows}
+
+    def belief(g, v):
+        llr = 0.0
+        for s, vs in said[g].items():
+            yes = vs.count(v)
+            llr += yes * math.log(sens[s] / fall[s]) + (len(vs) - yes) * math.log((1 - sens[s]) / (1 - fall[s]))
+        return 1 / (1 + math.exp(-llr))
+
+    for _ in range(4):
+        b = {k: belief(*k) for k in stated}
+        new = {}
+        for s in "abc":
+            ty = ta = fy = fa = 0.0
+            for (g, v), p in b.items():
+                if s in said[g]:
+                    yes, total = said[g][s].count(v), len(said[g][s])
+                    ty, ta, fy, fa = ty + p * yes, ta + p * total, fy + (1 - p) * yes, fa + (1 - p) * total
+            new[s] = ((ty + 8) / (ta + 10), (fy + 2) / (fa + 10))
+        sens, fall = {s: x[0] for s, x in new.items()}, {s: x[1] for s, x in new.items()}
+    got = {(r["topic"], r["value"]): r["belief"] for r in facts.collect()}
+    assert got.keys() == stated and all(abs(got[k] - belief(*k)) < 1e-9 for k in stated)
+    assert all(abs(r["sensitivity"] - sens[r["source"]]) < 1e-9 for r in sources.collect())
+
+
+def test_belief_beats_weight_where_weights_mislead(spark, work):
+    rng = random.Random(9)
+    rows = []
+    for g in range(150):
+        for s, weight, right in (("loud", 0.9, 0.3), ("plain1", 0.5, 0.9), ("plain2", 0.4, 0.9), ("plain3", 0.3, 0.9)):
+            rows.append((f"g{g}", "f", "true" if rng.random() < right else f"wrong{rng.randrange(3)}", f"{s}-{g}", s, weight, None))
+    df = spark.createDataFrame(rows, "`group` string, field string, value string, member string, source string, weight double, updated_at timestamp_ntz")
+    share = lambda by: sum(r["value"] == "true" for r in fusion.survivors(df, work, by_belief=by).collect()) / 150
+    by_weight, by_belief = share(False), share(True)
+    assert by_weight < 0.5 and by_belief > 0.9
+
+
 def test_found_survivors_against_plain_python(spark):
     """The rule of the problem, restated row by row over a whole small folder."""
     from caseflux.llm.queries import p4_found
@@ -163,6 +210,35 @@ def test_name_join_in_blocks_and_empty(spark, work, monkeypatch):
     assert names.link_names(typed, ents.where("false"), work).count() == 0
 
 
+def test_average_linkage_against_plain_agglomeration():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 7, 30):
+        v = rng.random((n, 5)).astype(np.float32) ** 4
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        groups = [[k] for k in range(n)]
+        while len(groups) > 1:
+            pairs = [(float(np.mean(v[a] @ v[b].T)), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j]
+            s, i, j = max(pairs)
+            if s < 0.7:
+                break
+            groups[i] += groups.pop(j)
+        of = names.average_linkage(v, 0.7)
+        assert {frozenset(g) for g in groups} == {frozenset(np.flatnonzero(of == x).tolist()) for x in set(of.tolist())}
+
+
+def test_linkage_rejects_what_only_shares_ordinary_words(spark, work):
+    ents = spark.createDataFrame([(1, "Acme Freight Services", "organisation"), (2, "Borumal Freight Services", "organisation")], "entity_id int, entity_name string, entity_kind string")
+    rows = [("Acme Freight Srvices", 1, 0.9, 2.0), ("Quistran Freight Services", 1, 0.7, 0.0), ("Zzz", 1, 0.3, 0.0), ("Borumal", 2, 0.5, 1.5), ("Borumal", 1, 0.2, 0.0)]
+    found = spark.createDataFrame(rows, "name string, entity_id long, cosine double, agrees double")
+    idf = {g: 1.0 for n in ("acmefreightservices", "borumalfreightservices") for g in names.grams(n)}
+    kept = {(r["name"], r["entity_id"]) for r in names.cluster_variants(found, ents, idf, {"freight", "services"}, least=0.6).collect()}
+    assert ("Acme Freight Srvices", 1) in kept and ("Borumal", 2) in kept and ("Zzz", 1) not in kept and ("Borumal", 1) not in kept
+    two = spark.createDataFrame([("x", 1, 0.5, 1.0), ("x", 2, 0.5, 1.0), ("y", 1, 0.5, 1.0), ("y", 2, 0.4, 1.0), ("z", 1, 0.9, 0.0)], found.schema)
+    assert {(r["name"], r["entity_id"]) for r in names.best_links(two).collect()} == {("y", 1)}
+
+
 def test_bin_completion_never_worse_than_best_fit():
     rng = random.Random(6)
     for n, cap in ((0, 10), (1, 10), (60, 100), (300, 2048), (400, 50)):
