@@ -88,12 +88,6 @@ def q06(spark, d):
     return table(spark, d, RISK).select("deduplicated_event_id").distinct().join(members(spark, d), "deduplicated_event_id", "left_anti")
 
 
-@query("q14_storage_integrity", f"select 'article in several incidents' as problem, enriched_event_id as id from {MEMBERS} group by 2 having count(*) > 1 union all select 'article missing', enriched_event_id from (select distinct enriched_event_id from {MEMBERS}) where enriched_event_id not in (select enriched_event_id from extracted_event_details where enriched_event_id is not null)")
-def q14(spark, d):
-    m = members(spark, d)
-    several = m.groupBy("enriched_event_id").agg(F.count("*").alias("c")).where("c > 1").select(F.lit("article in several incidents").alias("problem"), F.col("enriched_event_id").alias("id"))
-    missing = m.select("enriched_event_id").distinct().join(table(spark, d, "extracted_event_details"), "enriched_event_id", "left_anti")
-    return several.unionByName(missing.select(F.lit("article missing").alias("problem"), F.col("enriched_event_id").alias("id")))
 
 
 @query("q23_classification_shape", f"select deduplicated_event_id from (select distinct deduplicated_event_id, severity_category, confidence_score, reasoning_json from {RISK}) where severity_category is null or severity_category not in ({_IN(CATEGORY_DOMAIN)}) or confidence_score is null or not confidence_score between 0 and 1 or reasoning_json is null")

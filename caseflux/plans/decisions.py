@@ -57,34 +57,14 @@ def d29(spark, d):
 PRICES = (("model-a", 1.5), ("model-b", 0.6))
 
 
-@query("a40_cost_by_model", "with p(model_used, price) as (values " + ", ".join(f"('{m}', {p})" for m, p in PRICES) + f") select model_used, count(*) as n, round(count(*) * price / 1000, 6)::double as cost from {RISKED} join p using (model_used) group by model_used, price")
-def a40(spark, d):
-    prices = F.broadcast(spark.createDataFrame(list(PRICES), "model_used string, price double"))  # a fixed list
-    return risks(spark, d).join(prices, "model_used").groupBy("model_used", "price").agg(F.count("*").alias("n")).select("model_used", "n", F.round(F.col("n") * F.col("price") / 1000, 6).alias("cost"))
 
 
-@query("a18_record_ranges", f"select {HALF} as period, count(*) filter (where records_affected between 1 and 100) as small, count(*) filter (where records_affected between 101 and 10000) as middle, count(*) filter (where records_affected > 10000) as large, count(*) filter (where records_affected is null) as unknown from {ACTIVE} group by 1")
-def a18(spark, d):
-    r = F.col("records_affected")
-    return active(spark, d).groupBy(inc.half_year(F.col("event_date")).alias("period")).agg(F.count_if(r.between(1, 100)).alias("small"), F.count_if(r.between(101, 10000)).alias("middle"), F.count_if(r > 10000).alias("large"), F.count_if(r.isNull()).alias("unknown"))
 
 
-@query("a19_top_sector_ratio", f"select victim_organization_industry as sector, count(*) as n, round(count(*) * 1.0 / (select count(*) from {RISKED} where victim_organization_industry is not null), 4) as share from {RISKED} where victim_organization_industry is not null group by 1 having count(*) >= 10 order by 2 desc, 1 limit 10")
-def a19(spark, d):
-    rows = risks(spark, d).where("victim_organization_industry is not null").groupBy(F.col("victim_organization_industry").alias("sector")).agg(F.count("*").alias("n"))
-    share = rows.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 4))  # a few dozen sectors
-    return share.where("n >= 10").orderBy(F.desc("n"), "sector").limit(10)
 
 
-@query("a22_severity_by_period", f"select {HALF} as period, {SEV} as severity_rank, count(*) as n from {ACTIVE} group by 1, 2")
-def a22(spark, d):
-    return active(spark, d).groupBy(inc.half_year(F.col("event_date")).alias("period"), inc.severity_rank(F.col("severity")).alias("severity_rank")).agg(F.count("*").alias("n"))
 
 
-@query("a23_json_tally", f"select json_extract_string(reasoning_json, '$.information_quality') as quality, count(*) as n from (select distinct deduplicated_event_id, reasoning_json from {RISK} where json_valid(reasoning_json)) group by 1")
-def a23(spark, d):
-    rows = table(spark, d, RISK).where(F.try_parse_json("reasoning_json").isNotNull()).select("deduplicated_event_id", "reasoning_json").distinct()
-    return rows.groupBy(F.get_json_object("reasoning_json", "$.information_quality").alias("quality")).agg(F.count("*").alias("n"))
 
 
 @query("a27_matrix_blank_zero", f"select primary_stakeholder_category as stakeholder, " + ", ".join(f"nullif(count(distinct deduplicated_event_id) filter (where severity_category = 'C{k}'), 0) as c{k}" for k in range(1, 7)) + f" from {RISKED} where primary_stakeholder_category is not null group by 1")
@@ -100,26 +80,10 @@ def a39(spark, d):
     return members(spark, d).agg(g.alias("incidents"), F.count("*").alias("links"), F.countDistinct("enriched_event_id").alias("articles"), F.round(F.count("*") / g, 4).alias("mean_size"))
 
 
-@query("x48_implausible_counts", f"select enriched_event_id, records_affected from {EV} where records_affected > 20000000 or (records_affected > 1000000 and event_type = 'Phishing')")
-def x48(spark, d):
-    r = F.col("records_affected")
-    return events(spark, d).where((r > 20_000_000) | ((r > 1_000_000) & (F.col("event_type") == "Phishing"))).select("enriched_event_id", "records_affected")
 
 
-@query("z06_confidence_in_metadata", "select distinct decision_id, coalesce(json_extract_string(evidence_json, '$.entity_match'), 'unknown') as entity_match, certainty >= 0.8 as certain from decisions where certainty is not null")
-def z06(spark, d):
-    rows = table(spark, d, "decisions").where("certainty is not null")
-    return rows.select("decision_id", F.coalesce(F.get_json_object("evidence_json", "$.entity_match"), F.lit("unknown")).alias("entity_match"), (F.col("certainty") >= 0.8).alias("certain")).distinct()
 
 
-@query("t08_poisson_rates", None)
-def t08(spark, d):
-    """Rate ratios by elapsed band, from a Poisson regression on the aggregated cells."""
-    from caseflux.operators.regression import poisson_glm
-    from caseflux.operators.survival import split_by_elapsed
-    from caseflux.plans.survival import spells
-
-    return poisson_glm(split_by_elapsed(spells(spark, d)), ["band"], "events", "exposure")
 
 
 @query("f17_forest_filter", None)

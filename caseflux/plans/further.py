@@ -74,16 +74,8 @@ def f16(spark, d):
     return s.groupBy(F.when(F.col("s") < 0.4, "rejected").when(F.col("s") < 0.6, "review").otherwise("kept").alias("outcome")).agg(F.count("*").alias("n"))
 
 
-@query("f20_projection_defaults", f"select enriched_event_id, coalesce(title, 'Untitled') as title, coalesce(event_type, 'Other') as event_type, coalesce(confidence_score, 0.5) as confidence from {EV}")
-def f20(spark, d):
-    return events(spark, d).select("enriched_event_id", F.coalesce("title", F.lit("Untitled")).alias("title"), F.coalesce("event_type", F.lit("Other")).alias("event_type"), F.coalesce("confidence_score", F.lit(0.5)).alias("confidence"))
 
 
-@query("f22_source_type", "select case when contains(lower(source), 'wire') then 'wire' when contains(lower(source), 'courier') or contains(lower(source), 'observer') then 'paper' when source_url is not null then 'web' else 'unknown' end as source_type, count(*) as n from documents group by 1")
-def f22(spark, d):
-    s = F.lower("source")
-    kind = F.when(s.contains("wire"), "wire").when(s.contains("courier") | s.contains("observer"), "paper").when(F.col("source_url").isNotNull(), "web").otherwise("unknown")
-    return table(spark, d, "documents").groupBy(kind.alias("source_type")).agg(F.count("*").alias("n"))
 
 
 
@@ -190,9 +182,6 @@ def x23(spark, d):
     return table(spark, d, "match_evidence").where("date_left is not null").select("decision_id", F.when((F.length(t) >= 7) & (F.substring(t, 5, 1) == "-"), F.substring(t, 1, 7)).alias("month")).distinct()
 
 
-@query("x29_cut_at_sentence", None)
-def x29(spark, d):
-    return table(spark, d, "extracted_event_details").where("summary is not null").select("enriched_event_id", tx.cut_at_sentence(F.col("summary"), 200).alias("short")).distinct()
 
 
 @query("x32_printable_titles", None)
@@ -200,11 +189,6 @@ def x32(spark, d):
     return events(spark, d).where("title is not null").select("enriched_event_id", tx.printable(F.col("title")).alias("title")).distinct()
 
 
-@query("x43_canonical_sectors", f"select case when lower(victim_organization_industry) like '%health%' then 'Health' when lower(victim_organization_industry) like '%financ%' then 'Finance' when lower(victim_organization_industry) like '%educ%' then 'Education' when lower(victim_organization_industry) like '%govern%' then 'Government' else 'Other' end as sector, count(*) as n from {RISKED} where victim_organization_industry is not null group by 1")
-def x43(spark, d):
-    s = F.lower("victim_organization_industry")
-    sector = F.when(s.contains("health"), "Health").when(s.contains("financ"), "Finance").when(s.contains("educ"), "Education").when(s.contains("govern"), "Government").otherwise("Other")
-    return risks(spark, d).where("victim_organization_industry is not null").groupBy(sector.alias("sector")).agg(F.count("*").alias("n"))
 
 
 @query("x46_safe_casts", "select distinct decision_id, try_cast(replace(json_extract_string(evidence_json, '$.date_delta_days'), ',', '') as bigint) as days, try_cast(json_extract_string(evidence_json, '$.entity_match') as boolean) as entity_match from decisions where json_valid(evidence_json)")
@@ -227,10 +211,6 @@ def d17(spark, d):
 
 
 
-@query("s02_keyword_scan", "select doc_id from documents where lang = 'en' and regexp_matches(lower(text), '(ransom|extortion|breach)') and not regexp_matches(lower(text), '(cookies|subscribe)') and n_chars >= 200")
-def s02(spark, d):
-    t = F.lower("text")
-    return table(spark, d, "documents").where((F.col("lang") == "en") & (F.col("n_chars") >= 200) & t.rlike("(ransom|extortion|breach)") & ~t.rlike("(cookies|subscribe)")).select("doc_id")
 
 
 @query("s15_rows_with_json_field", "select x.decision_id, d.enriched_event_id is not null as has_article, json_extract_string(x.evidence_json, '$.entity_match') as entity_match from (select distinct decision_id, enriched_event_id, evidence_json from decisions where json_valid(evidence_json)) x left join (select distinct enriched_event_id from extracted_event_details) d using (enriched_event_id)")
@@ -239,8 +219,3 @@ def s15(spark, d):
     e = table(spark, d, "extracted_event_details").select("enriched_event_id").distinct().withColumn("has", F.lit(True))
     return x.join(e, "enriched_event_id", "left").select("decision_id", F.coalesce("has", F.lit(False)).alias("has_article"), F.get_json_object("evidence_json", "$.entity_match").alias("entity_match"))
 
-
-@query("k01_filtered_export", f"select enriched_event_id, event_type, severity from {EV} where event_date between date '2024-01-01' and date '2024-12-31' and status = 'Active' and event_type in ('Ransomware', 'Phishing')")
-def k01(spark, d):
-    rows = events(spark, d).where(F.col("event_date").between("2024-01-01", "2024-12-31") & (F.col("status") == "Active") & F.col("event_type").isin("Ransomware", "Phishing"))
-    return rows.select("enriched_event_id", "event_type", "severity")

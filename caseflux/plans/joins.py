@@ -13,10 +13,6 @@ from caseflux.sources.tables import table
 RUN1 = "asd_risk_classifications_20251118_153149"
 
 
-@query("j01_event_entity", f"select e.enriched_event_id, n.entity_id, n.industry from {ACTIVE} e join entities n on n.entity_name = e.primary_entity where n.entity_kind = 'organisation'")
-def j01(spark, d):
-    n = table(spark, d, "entities").where("entity_kind = 'organisation'").select("entity_id", "industry", F.col("entity_name").alias("primary_entity"))
-    return active(spark, d).join(n, "primary_entity").select("enriched_event_id", "entity_id", "industry")
 
 
 @query("j02_left_with_filter_in_on", f"select e.enriched_event_id, n.entity_id from {ACTIVE} e left join entities n on n.entity_name = e.primary_entity and n.is_australian")
@@ -110,19 +106,8 @@ def j17(spark, d):
 PAIR = "least(left_enriched_event_id, right_enriched_event_id) || '|' || greatest(left_enriched_event_id, right_enriched_event_id)"
 
 
-@query("j18_pairs_kept_separate", f"select distinct {PAIR} as pair_key from match_evidence where left_enriched_event_id <> right_enriched_event_id and decision_id in (select decision_id from decisions where action = 'keep_separate' and superseded_by is null)")
-def j18(spark, d):
-    kept = table(spark, d, "decisions").where("action = 'keep_separate' and superseded_by is null").select("decision_id")
-    rows = table(spark, d, "match_evidence").where("left_enriched_event_id <> right_enriched_event_id").join(kept, "decision_id", "left_semi")
-    a, b = "left_enriched_event_id", "right_enriched_event_id"
-    return rows.select(F.concat_ws("|", F.least(a, b), F.greatest(a, b)).alias("pair_key")).distinct()
 
 
-@query("j19_worst_of_two_runs", f"select deduplicated_event_id, min(severity_category) as worst from (select deduplicated_event_id, severity_category from {RUN1} union all select deduplicated_event_id, severity_category from {RISK}) where severity_category is not null group by 1")
-def j19(spark, d):
-    c = ("deduplicated_event_id", "severity_category")
-    rows = table(spark, d, RUN1).select(*c).union(table(spark, d, RISK).select(*c)).where("severity_category is not null")
-    return rows.groupBy("deduplicated_event_id").agg(F.min("severity_category").alias("worst"))
 
 
 @query("j21_nearest_by_cosine", None)
@@ -137,10 +122,6 @@ def j21(spark, d):
     return nearest_vectors(table(spark, d, "embeddings"), every=20, k=1)
 
 
-@query("j22_missing_lineage", f"select x.enriched_event_id, x.deduplicated_event_id from {MEMBERS} x left join (select distinct left_enriched_event_id as enriched_event_id from match_evidence) y using (enriched_event_id) where y.enriched_event_id is null")
-def j22(spark, d):
-    y = table(spark, d, "match_evidence").select(F.col("left_enriched_event_id").alias("enriched_event_id"))
-    return members(spark, d).join(y, "enriched_event_id", "left_anti")
 
 
 @query("w02_next_event", f"select enriched_event_id, lead(event_date) over w - event_date as days_to_next, row_number() over w as ordinal from {ACTIVE} where trim(primary_entity) <> '' window w as (partition by primary_entity order by event_date, enriched_event_id)")
@@ -238,10 +219,6 @@ def u02(spark, d):
     return table(spark, d, "extracted_event_details").select("enriched_event_id").subtract(table(spark, d, "decisions").where("action = 'merge'").select("enriched_event_id"))
 
 
-@query("u04_union_of_entities", f"select m.deduplicated_event_id, string_agg(distinct e.x, '|' order by e.x) as entities from {MEMBERS} m join (select enriched_event_id, unnest(affected_entities) as x from extracted_event_details) e using (enriched_event_id) where e.x is not null group by 1")
-def u04(spark, d):
-    e = table(spark, d, "extracted_event_details").select("enriched_event_id", F.explode("affected_entities").alias("x")).where("x is not null")
-    return members(spark, d).join(e, "enriched_event_id").groupBy("deduplicated_event_id").agg(F.array_join(F.array_sort(F.collect_set("x")), "|").alias("entities"))
 
 
 @query("u05_months_to_process", f"with s as (select strftime(x, '%Y-%m') as month from generate_series(date '2020-01-01', date '2025-12-01', interval 1 month) t(x)) select month from s where month not in (select distinct {MONTH} from {ACTIVE}) or month >= '2025-10'")

@@ -12,9 +12,6 @@ from caseflux.sources.tables import table
 NOW_MEMBERS = "(select deduplicated_event_id, enriched_event_id from (select deduplicated_event_id, enriched_event_id, arg_max(action, (created_at, decision_id)) as action from (select distinct decision_id, enriched_event_id, deduplicated_event_id, action, created_at from decisions where superseded_by is null and enriched_event_id is not null and deduplicated_event_id is not null and action in ('merge', 'revert')) group by 1, 2) where action = 'merge')"
 
 
-@query("l01_live_decisions", "select action, count(distinct decision_id) as n from decisions where superseded_by is null group by 1")
-def l01(spark, d):
-    return lg.live(table(spark, d, "decisions")).groupBy("action").agg(F.count("*").alias("n"))
 
 
 @query("l02_current_members", f"select deduplicated_event_id, count(*) as members from {NOW_MEMBERS} group by 1")
@@ -27,28 +24,12 @@ def l04(spark, d):
     return lg.snapshot(table(spark, d, "decisions"))
 
 
-@query("l05_recomputed_identity", f"select m.deduplicated_event_id, min(e.event_date)::varchar as first_day, count(*) as members from {NOW_MEMBERS} m join {EV} e using (enriched_event_id) group by 1")
-def l05(spark, d):
-    rows = lg.membership(table(spark, d, "decisions")).join(events(spark, d).select("enriched_event_id", "event_date"), "enriched_event_id")
-    return rows.groupBy("deduplicated_event_id").agg(F.min("event_date").cast("string").alias("first_day"), F.count("*").alias("members"))
 
 
-@query("l07_ancestry_sizes", "select deduplicated_event_id, count(distinct decision_id) as decisions, count(distinct decision_id) filter (where superseded_by is not null) as superseded, count(distinct batch_id) as batches from decisions where deduplicated_event_id is not null group by 1")
-def l07(spark, d):
-    return table(spark, d, "decisions").where("deduplicated_event_id is not null").groupBy("deduplicated_event_id").agg(
-        F.countDistinct("decision_id").alias("decisions"), F.countDistinct(F.when(F.col("superseded_by").isNotNull(), F.col("decision_id"))).alias("superseded"), F.countDistinct("batch_id").alias("batches")
-    )
 
 
-@query("l09_lineage_to_backfill", f"select count(*) as missing from {MEMBERS} m where not exists (select 1 from snapshots s where s.deduplicated_event_id = m.deduplicated_event_id)")
-def l09(spark, d):
-    return members(spark, d).join(table(spark, d, "snapshots"), "deduplicated_event_id", "left_anti").agg(F.count("*").alias("missing"))
 
 
-@query("k02_denormalised_export", f"select m.deduplicated_event_id, count(*) as articles, string_agg(e.title, ' | ' order by e.title) as titles from {MEMBERS} m join {EV} e using (enriched_event_id) where e.title is not null group by 1")
-def k02(spark, d):
-    rows = members(spark, d).join(events(spark, d).select("enriched_event_id", "title"), "enriched_event_id").where("title is not null")
-    return rows.groupBy("deduplicated_event_id").agg(F.count("*").alias("articles"), F.array_join(F.array_sort(F.collect_list("title")), " | ").alias("titles"))
 
 
 @query("k04_export_summary", "select 'decisions' as name, count(*) as n from decisions union all select 'extracted_event_details', count(*) from extracted_event_details union all select 'match_evidence', count(*) from match_evidence union all select 'snapshots', count(*) from snapshots union all select 'entities', count(*) from entities")
@@ -77,11 +58,6 @@ def s18(spark, d):
     return table(spark, d, "documents").where("source_url is not null").select("source_url").distinct()
 
 
-@query("s19_columns", None)
-def s19(spark, d):
-    """Columns and types of the tables, for introspection."""
-    rows = [(name, f.name, f.dataType.simpleString()) for name in ("decisions", "batches", "entities") for f in table(spark, d, name).schema.fields]
-    return spark.createDataFrame(rows, "table_name string, column_name string, type string")
 
 
 @query("s20_status", "select max(strftime(discovered_at, '%Y-%m-%d %H:%M:%S')) as last_seen, max(event_date)::varchar as latest_event, count(distinct enriched_event_id) as n from extracted_event_details")
@@ -89,16 +65,4 @@ def s20(spark, d):
     return table(spark, d, "extracted_event_details").agg(F.max(F.date_format("discovered_at", "yyyy-MM-dd HH:mm:ss")).alias("last_seen"), F.max("event_date").cast("string").alias("latest_event"), F.countDistinct("enriched_event_id").alias("n"))
 
 
-@query("s05_json_salvage", None)
-def s05(spark, d):
-    """Members of payloads that cannot be read, recovered field by field."""
-    bad = table(spark, d, "snapshots").where("payload_json is not null").where(F.try_parse_json("payload_json").isNull())
-    ids = F.regexp_extract_all("payload_json", F.lit('"enriched_event_id": "([^"]+)"'), 1)
-    return bad.select("snapshot_id", F.posexplode(ids)).select("snapshot_id", F.col("pos").alias("place"), F.col("col").alias("enriched_event_id")).distinct()
 
-
-@query("z01_insert_if_absent", "select count(*) as fresh from (select distinct source, source_url from documents where source_url is not null) d where not exists (select 1 from (select source, source_url from documents where lang = 'en' and source_url is not null) e where e.source is not distinct from d.source and e.source_url = d.source_url)")
-def z01(spark, d):
-    docs = table(spark, d, "documents").where("source_url is not null").select("source", "source_url", "lang")
-    new, old = docs.select("source", "source_url").distinct(), docs.where("lang = 'en'").select(F.col("source").alias("s"), F.col("source_url").alias("u"))
-    return new.join(old, F.col("source").eqNullSafe(F.col("s")) & (F.col("source_url") == F.col("u")), "left_anti").agg(F.count("*").alias("fresh"))

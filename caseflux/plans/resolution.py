@@ -123,11 +123,6 @@ def x39(spark, d):
     return table(spark, d, "entities").where("turnover is not null").select("entity_id", tx.magnitude(F.col("turnover")).alias("amount"))
 
 
-@query("x40_employee_buckets", "select case when employee_count is null then 'unknown' when employee_count < 50 then 'small' when employee_count < 250 then 'medium' when employee_count < 1000 then 'large' else 'very_large' end as bucket, count(*) as n from entities group by 1")
-def x40(spark, d):
-    c = F.col("employee_count")
-    bucket = F.when(c.isNull(), "unknown").when(c < 50, "small").when(c < 250, "medium").when(c < 1000, "large").otherwise("very_large")
-    return table(spark, d, "entities").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
 @query("x41_size_bands", "select entity_id, case when n is not null then case when n < 20 then 'SMALL' when n < 200 then 'MEDIUM' when n < 5000 then 'LARGE' else 'HUGE' end when size_revenue_aud > 0 then case when size_revenue_aud < 1e7 then 'SMALL' when size_revenue_aud < 1e8 then 'MEDIUM' when size_revenue_aud < 1e9 then 'LARGE' else 'HUGE' end else coalesce(size_estimate, 'UNKNOWN') end as band from (select *, coalesce(size_employees, employee_count) as n from entities)")
@@ -137,9 +132,6 @@ def x41(spark, d):
     return table(spark, d, "entities").select("entity_id", F.when(n.isNotNull(), ladder(n, 20, 200, 5000)).when(r > 0, ladder(r, 1e7, 1e8, 1e9)).otherwise(F.coalesce("size_estimate", F.lit("UNKNOWN"))).alias("band"))
 
 
-@query("x44_type_labels", f"select event_type, count(*) as n from {EV} where event_type is not null group by 1")
-def x44(spark, d):
-    return events(spark, d).where("event_type is not null").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 @query("x56_json_fields", "select distinct decision_id, json_extract_string(evidence_json, '$.date_delta_days')::int as delta, json_extract_string(evidence_json, '$.entity_match') as entity_match from decisions where evidence_json is not null and json_valid(evidence_json)")

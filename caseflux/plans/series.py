@@ -50,13 +50,6 @@ def f03(spark, d):
     return events(spark, d).select("enriched_event_id", F.coalesce(blank(F.col("primary_entity")), blank(F.col("title"))).alias("label")).where("label is not null")
 
 
-@query(
-    "f04_terms_not_processed",
-    f"select enriched_event_id from {EV} e where (lower(title) like '%breach%' or lower(title) like '%ransom%' or lower(title) like '%phish%') and not exists (select 1 from decisions x where x.enriched_event_id = e.enriched_event_id and x.action = 'merge' and x.superseded_by is null)",
-)
-def f04(spark, d):
-    done = table(spark, d, "decisions").where("action = 'merge' and superseded_by is null").select("enriched_event_id")
-    return events(spark, d).where(F.lower("title").rlike("breach|ransom|phish")).join(done, "enriched_event_id", "left_anti").select("enriched_event_id")
 
 
 @query("f06_plausible_records", f"select enriched_event_id, records_affected from {EV} where records_affected between 1 and 1000000000")
@@ -208,17 +201,8 @@ def a11(spark, d):
     return best.select("month", "b.enriched_event_id", (-F.col("b.r")).alias("records_affected"))
 
 
-@query("a12_severity_by_industry", f"select e.industry, round(sum({SEV} * coalesce(a.confidence_score, 0)) / sum(coalesce(a.confidence_score, 0)), 4) as weighted_severity, count(*) as n from {ACTIVE} a join entities e on a.primary_entity = e.entity_name group by 1")
-def a12(spark, d):
-    entities = table(spark, d, "entities").select(F.col("entity_name").alias("primary_entity"), "industry")
-    w = F.coalesce("confidence_score", F.lit(0.0))
-    rows = active(spark, d).join(entities, "primary_entity").withColumn("r", inc.severity_rank(F.col("severity")))
-    return rows.groupBy("industry").agg(F.round(F.sum(F.col("r") * w) / F.sum(w), 4).alias("weighted_severity"), F.count("*").alias("n"))
 
 
-@query("a13_severity_by_type", f"select event_type, round(avg({SEV}), 4) as mean_rank, count(*) as n from {ACTIVE} group by 1")
-def a13(spark, d):
-    return active(spark, d).groupBy("event_type").agg(F.round(F.avg(inc.severity_rank(F.col("severity"))), 4).alias("mean_rank"), F.count("*").alias("n"))
 
 
 @query("a14_records_by_type", f"select event_type, sum(records_affected)::bigint as total, round(sum(records_affected) / count(*), 4) as mean, count(*) as n from {ACTIVE} where records_affected between 1 and 1000000000 group by 1")
@@ -255,19 +239,6 @@ def a17(spark, d):
     return active(spark, d).groupBy(inc.half_year(F.col("event_date")).alias("period")).agg(F.count_if(kind[0]).alias("malicious"), F.count_if(kind[1]).alias("breach"), F.count_if(~kind[0] & ~kind[1]).alias("other"))
 
 
-@query(
-    "a20_interpolated_median",
-    f"""with b as (select least(7, greatest(0, ceil(log10(records_affected) - 1e-12)::int - 1)) as k, count(*) as n from {ACTIVE} where records_affected > 0 group by 1), c as (select k, n, sum(n) over (order by k) as cum, sum(n) over () as total from b),
-    f as (select * from c where cum >= total / 2.0 order by k limit 1) select round((case when k = 0 then 0 else pow(10, k) end) + (total / 2.0 - (cum - n)) / n * (pow(10, k + 1) - case when k = 0 then 0 else pow(10, k) end), 4) as median, total::bigint as total from f""",
-)
-def a20(spark, d):
-    bins = spark.createDataFrame([(b, float(0 if k == 0 else 10**k), float(10 ** (k + 1))) for k, b in enumerate(inc.RECORD_BINS)], "bin string, low double, high double")
-    counted = active(spark, d).groupBy(inc.record_bin(F.col("records_affected")).alias("bin")).agg(F.count("*").alias("n")).join(bins, "bin")
-    # eight rows at most: the running sum runs over the bins, not the records
-    w = Window.orderBy("low")
-    run = counted.withColumn("cum", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy()))
-    first = run.where(F.col("cum") >= F.col("total") / 2).orderBy("low").limit(1)
-    return first.select(F.round(F.col("low") + (F.col("total") / 2 - (F.col("cum") - F.col("n"))) / F.col("n") * (F.col("high") - F.col("low")), 4).alias("median"), "total")
 
 
 @query("a21_half_year_average", f"select {HALF} as period, round(avg(records_affected), 4) as average from {ACTIVE} where records_affected between 1 and 1000000000 group by 1")
@@ -278,36 +249,10 @@ def a21(spark, d):
 _TYPES = ("Ransomware", "Phishing", "Malware", "Data Breach")
 
 
-@query(
-    "a24_type_correlation",
-    "with w as (select " + MONTH + " as month, " + ", ".join(f"count(*) filter (where event_type = '{t}') as t{k}" for k, t in enumerate(_TYPES)) + f" from {ACTIVE} group by 1) "
-    + " union all ".join(f"select '{a}' as left_type, '{b}' as right_type, round(coalesce(corr(t{i}, t{j}), 0), 3) as r from w" for i, a in enumerate(_TYPES) for j, b in enumerate(_TYPES) if i < j),
-)
-def a24(spark, d):
-    wide = active(spark, d).groupBy(inc.month(F.col("event_date")).alias("month")).pivot("event_type", list(_TYPES)).agg(F.count(F.lit(1))).fillna(0)
-    pairs = [(a, b) for i, a in enumerate(_TYPES) for b in _TYPES[i + 1 :]]
-    one = wide.agg(F.array(*(F.struct(F.lit(a).alias("left_type"), F.lit(b).alias("right_type"), F.round(F.coalesce(F.corr(a, b), F.lit(0.0)), 3).alias("r")) for a, b in pairs)).alias("c"))
-    return one.select(F.explode("c").alias("c")).select("c.*")
 
 
-@query(
-    "a25_count_histogram",
-    f"with m as (select count(*) as c from {ACTIVE} group by {MONTH}), s as (select min(c) as lo, max(c) as hi from m) select least(9, floor((c - lo) * 10.0 / (hi - lo)))::int as bin, count(*) as n from m, s where hi > lo group by 1",
-)
-def a25(spark, d):
-    m = active(spark, d).groupBy(inc.month(F.col("event_date")).alias("month")).agg(F.count("*").alias("c"))
-    s = m.agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("hi > lo")
-    return m.join(F.broadcast(s)).groupBy(F.least(F.lit(9), F.floor((F.col("c") - F.col("lo")) * 10.0 / (F.col("hi") - F.col("lo")))).cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-@query(
-    "a26_risk_matrix",
-    f"with c as (select 'C' || x as severity_category from range(1, 7) t(x)), g as (select distinct primary_stakeholder_category as stakeholder from {RISKED} where primary_stakeholder_category is not null), r as (select severity_category, primary_stakeholder_category as stakeholder, count(distinct deduplicated_event_id) as n from {RISKED} group by 1, 2) select c.severity_category, g.stakeholder, coalesce(r.n, 0) as n from c cross join g left join r using (severity_category, stakeholder)",
-)
-def a26(spark, d):
-    rows = risks(spark, d).where("primary_stakeholder_category is not null").groupBy(F.col("primary_stakeholder_category").alias("stakeholder"))
-    wide = rows.pivot("severity_category", [f"C{k}" for k in range(1, 7)]).agg(F.countDistinct("deduplicated_event_id")).fillna(0)
-    return wide.unpivot(["stakeholder"], [f"C{k}" for k in range(1, 7)], "severity_category", "n")
 
 
 @query("a28_duplicate_keys", "select decision_id, count(*) as n from decisions group by 1 having count(*) > 1")
@@ -335,15 +280,6 @@ def a30(spark, d):
     return members(spark, d).groupBy("deduplicated_event_id").agg(F.substring(F.sha2(F.concat_ws("|", F.array_sort(F.collect_list("enriched_event_id"))), 256), 1, 32).alias("signature"), F.count("*").alias("members"))
 
 
-@query(
-    "a31_staleness",
-    f"select case when r.deduplicated_event_id is null then 'never classified' when x.deduplicated_event_id is null then 'orphan' else 'current' end as state, count(*) as n from (select distinct deduplicated_event_id from {MEMBERS}) x full outer join (select distinct deduplicated_event_id from {RISK}) r using (deduplicated_event_id) group by 1",
-)
-def a31(spark, d):
-    x = members(spark, d).select("deduplicated_event_id").distinct().withColumn("x", F.lit(1))
-    r = table(spark, d, RISK).select("deduplicated_event_id").distinct().withColumn("r", F.lit(1))
-    state = F.when(F.col("r").isNull(), "never classified").when(F.col("x").isNull(), "orphan").otherwise("current")
-    return x.join(r, "deduplicated_event_id", "full_outer").groupBy(state.alias("state")).agg(F.count("*").alias("n"))
 
 
 @query("a32_source_counts", f"select deduplicated_event_id, greatest(coalesce(m.n, 0), coalesce(s.n, 0), 1) as sources from (select deduplicated_event_id, count(*) as n from {MEMBERS} group by 1) m full outer join (select deduplicated_event_id, count(distinct snapshot_id) as n from snapshots group by 1) s using (deduplicated_event_id)")
@@ -360,24 +296,10 @@ def a33(spark, d):
     return rows.groupBy("deduplicated_event_id", "entity_id").agg(F.max("confidence_score").alias("confidence"), F.count("*").alias("mentions"))
 
 
-@query("a34_summary_by_size", "select coalesce(size_estimate, 'UNKNOWN') as size, count(distinct entity_id) as entities, count(employee_count) as with_employees from entities group by 1")
-def a34(spark, d):
-    return table(spark, d, "entities").groupBy(F.coalesce("size_estimate", F.lit("UNKNOWN")).alias("size")).agg(F.countDistinct("entity_id").alias("entities"), F.count("employee_count").alias("with_employees"))
 
 
-@query(
-    "a35_audit_statistics",
-    "with x as (select distinct decision_id, enriched_event_id, deduplicated_event_id, action, certainty, superseded_by from decisions), g as (select deduplicated_event_id, count(distinct enriched_event_id) as n, min(case when superseded_by is null then certainty end) as least from x where action = 'merge' and deduplicated_event_id is not null group by 1) select count(*) filter (where n > 1) as merged, count(*) filter (where n = 1) as singletons, count(*) filter (where least < 0.85) as low_certainty, max(n) as largest from g",
-)
-def a35(spark, d):
-    x = table(spark, d, "decisions").select("decision_id", "enriched_event_id", "deduplicated_event_id", "action", "certainty", "superseded_by").distinct()
-    g = x.where("action = 'merge' and deduplicated_event_id is not null").groupBy("deduplicated_event_id").agg(F.countDistinct("enriched_event_id").alias("n"), F.min(F.when(F.col("superseded_by").isNull(), F.col("certainty"))).alias("least"))
-    return g.agg(F.count_if(F.col("n") > 1).alias("merged"), F.count_if(F.col("n") == 1).alias("singletons"), F.count_if(F.col("least") < 0.85).alias("low_certainty"), F.max("n").alias("largest"))
 
 
-@query("a36_stage_status", "select action, decided_by, count(distinct decision_id) as n from decisions group by 1, 2")
-def a36(spark, d):
-    return table(spark, d, "decisions").groupBy("action", "decided_by").agg(F.countDistinct("decision_id").alias("n"))
 
 
 @query("a37_months_by_year", f"select year(event_date)::int as year, count(distinct {MONTH}) as months, count(*) as n_events, round(count(distinct {MONTH}) / 12.0 * 100, 1) as completion from {ACTIVE} group by 1")
@@ -386,10 +308,6 @@ def a37(spark, d):
     return active(spark, d).groupBy(F.year("event_date").alias("year")).agg(m.alias("months"), F.count("*").alias("n_events"), F.round(m / 12.0 * 100, 1).alias("completion"))
 
 
-@query("a38_mentions_of_entities", "select entity, count(*) as n from (select distinct enriched_event_id, unnest(affected_entities) as entity from extracted_event_details) where entity is not null group by 1")
-def a38(spark, d):
-    rows = table(spark, d, "extracted_event_details").select("enriched_event_id", F.explode("affected_entities").alias("entity")).distinct()
-    return rows.where("entity is not null").groupBy("entity").agg(F.count("*").alias("n"))
 
 
 @query("a41_quality_by_model", f"select model_used, count(*) as n, round(avg(confidence_score), 4) as mean, min(confidence_score) as least, max(confidence_score) as most, count(*) filter (where confidence_score >= 0.8) as high, count(*) filter (where confidence_score < 0.5) as low from {RISKED} group by 1")
@@ -403,13 +321,6 @@ def a44(spark, d):
     return risks(spark, d).groupBy("impact_type").agg(F.count("*").alias("c")).select("impact_type", F.round(F.col("c") * 100.0 / F.sum("c").over(Window.partitionBy()), 1).alias("percent"))
 
 
-@query(
-    "a45_entity_days",
-    f"select primary_entity, event_date::varchar as event_date, count(distinct enriched_event_id) as n, string_agg(enriched_event_id, '|' order by enriched_event_id) as ids, max(records_affected) as most from {ACTIVE} where trim(primary_entity) <> '' group by 1, 2",
-)
-def a45(spark, d):
-    rows = active(spark, d).where("trim(primary_entity) <> ''").groupBy("primary_entity", F.col("event_date").cast("string").alias("event_date"))
-    return rows.agg(F.countDistinct("enriched_event_id").alias("n"), F.array_join(F.array_sort(F.collect_list("enriched_event_id")), "|").alias("ids"), F.max("records_affected").alias("most"))
 
 
 @query("a46_industry_mode", f"select victim_organization_name, arg_max(industry, n * 1000000 - k) as industry from (select *, row_number() over (partition by victim_organization_name order by industry) as k from (select victim_organization_name, victim_organization_industry as industry, count(*) as n from {RISKED} where victim_organization_name is not null and victim_organization_industry is not null group by 1, 2)) where n >= 2 group by 1")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FORMATS = ("parquet", "json", "csv", "orc")
@@ -28,3 +28,39 @@ def split_rejects(rows: DataFrame, valid: str) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) by a SQL condition; null counts as rejected."""
     ok = F.coalesce(F.expr(valid), F.lit(False))
     return rows.where(ok), rows.where(~ok)
+
+
+def write_html_report(sections: dict[str, DataFrame], path: str, title: str = "report") -> None:
+    """One HTML file under ``path`` with the rows of each section embedded as JSON.
+
+    Sections are small aggregates; each becomes one list of JSON rows before
+    the page is put together in a single row and written.
+    """
+    page = None
+    for name, rows in sections.items():
+        one = rows.agg(F.array_sort(F.collect_list(F.to_json(F.struct(*rows.columns)))).alias(name))
+        page = one if page is None else page.crossJoin(one)  # one row each
+    data = F.replace(F.to_json(F.struct(*sections)), F.lit("</"), F.lit("<\\/"))
+    html = F.concat(F.lit(f'<!doctype html><meta charset="utf-8"><title>{title}</title><script type="application/json">'), data, F.lit("</script>"))
+    page.select(html.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def wipe(spark: SparkSession, paths: dict[str, str], allowed: tuple[str, ...], order: list[str]) -> dict[str, int]:
+    """Empties the named tables, deepest reference first; gives the rows each had.
+
+    A table that is not on the allow-list is an error and nothing is touched.
+    """
+    strange = sorted(set(paths) - set(allowed))
+    if strange:
+        raise ValueError(f"not to be wiped: {', '.join(strange)}")
+    had: dict[str, int] = {}
+    for name in sorted(paths, key=order.index):
+        rows = spark.read.parquet(paths[name])
+        had[name] = rows.count()
+        rows.limit(0).write.mode("overwrite").parquet(f"{paths[name]}.empty")
+        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        old, new = fs_path(paths[name]), fs_path(f"{paths[name]}.empty")
+        fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(old, True)
+        fs.rename(new, old)
+    return had
