@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,19 +46,47 @@ def _day(y: Column, m: Column, d: Column) -> Column:
     return F.when(ok, F.format_string("%04d-%02d-%02d", y, m, F.least(d, longest)))
 
 
-def first_date(text: Column) -> Column:
-    """First explicit date: ISO, day month year, month day year, month year (its first day)."""
-    def got(pattern: str, y: int, m: int, d: int | None, word: bool) -> Column:
-        part = lambda k: F.regexp_extract(text, pattern, k)
-        month = month_number(part(m)) if word else part(m)
-        return F.when(text.rlike(pattern), _day(part(y), month, F.lit("1") if d is None else part(d)))
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _date_of_words(words: Column, forms: tuple[str, ...]) -> Column:
+    """Date of the first run of words of a form: D a day, M a month's name, N its number, Y a year."""
+    is_a = {
+        "D": lambda w: w.rlike("^[0-9]{1,2}(?:st|nd|rd|th)?$"),
+        "M": lambda w: w.rlike(f"^{MONTH_WORDS}$"),
+        "N": lambda w: w.rlike("^(?:0?[1-9]|1[0-2])$"),
+        "Y": lambda w: w.rlike("^(?:19|20)[0-9]{2}$"),
+    }
+
+    def dated(w: Column) -> Column:
+        def fits(form: str):
+            return lambda i: F.coalesce(reduce(lambda x, y: x & y, [is_a[c](F.try_element_at(w, i + F.lit(k))) for k, c in enumerate(form)]), F.lit(False))
+
+        def day_at(form: str):
+            def day(i: Column) -> Column:
+                part = {c: F.try_element_at(w, i + F.lit(k)) for k, c in enumerate(form)}
+                month = month_number(part["M"]) if "M" in part else part["N"]
+                return F.when(i.isNotNull(), _day(part["Y"], month, F.regexp_replace(part["D"], "[a-z]+", "") if "D" in part else F.lit("1")))
+
+            return day
 
-    return F.coalesce(
-        got("\\b((?:19|20)\\d{2})-(\\d{1,2})-(\\d{1,2})\\b", 1, 2, 3, False),
-        got(f"(?i)\\b(\\d{{1,2}})(?:st|nd|rd|th)? ({MONTH_WORDS})\\.?,? ((?:19|20)\\d{{2}})\\b", 3, 2, 1, True),
-        got(f"(?i)\\b({MONTH_WORDS})\\.? (\\d{{1,2}})(?:st|nd|rd|th)?,? ((?:19|20)\\d{{2}})\\b", 3, 1, 2, True),
-        got(f"(?i)\\b({MONTH_WORDS})\\.?,? ((?:19|20)\\d{{2}})\\b", 2, 1, None, True),
-    )
+        places = F.when(F.size(w) > 0, F.sequence(F.lit(1), F.size(w)))
+        return F.coalesce(*(_with(F.try_element_at(F.filter(places, fits(form)), F.lit(1)), day_at(form)) for form in forms))
+
+    return _with(words, dated)
+
+
+def _words(c: Column) -> Column:
+    return F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0))
+
+
+def first_date(text: Column) -> Column:
+    """First explicit date: ISO, day month year, month day year, month year (its first day), in this order."""
+    iso = F.split(F.regexp_extract(text, "\\b((?:19|20)[0-9]{2}-[0-9]{1,2}-[0-9]{1,2})\\b", 1), "-")
+    whole = F.when(F.size(iso) == 3, _day(F.try_element_at(iso, F.lit(1)), F.try_element_at(iso, F.lit(2)), F.try_element_at(iso, F.lit(3))))
+    return F.coalesce(whole, _date_of_words(_words(text), ("DMY", "MDY", "MY")))
 
 
 def url_host(c: Column) -> Column:
@@ -65,17 +95,8 @@ def url_host(c: Column) -> Column:
 
 
 def url_date(c: Column) -> Column:
-    """Publication date in a URL path: /Y/M/D, slug d-month-Y, slug month-Y, /Y/M."""
-    def got(p: str, y: int, m: int, d: int | None, word: bool) -> Column:
-        part = lambda k: F.regexp_extract(c, p, k)
-        return F.when(c.rlike(p), _day(part(y), month_number(part(m)) if word else part(m), F.lit("1") if d is None else part(d)))
-
-    return F.coalesce(
-        got("/((?:19|20)\\d{2})[/-](\\d{1,2})[/-](\\d{1,2})(?:/|-|$)", 1, 2, 3, False),
-        got(f"(?i)(?<![0-9])(\\d{{1,2}})(?:st|nd|rd|th)?-({MONTH_WORDS})-((?:19|20)\\d{{2}})", 3, 2, 1, True),
-        got(f"(?i)({MONTH_WORDS})-((?:19|20)\\d{{2}})", 2, 1, None, True),
-        got("/((?:19|20)\\d{2})[/-](\\d{1,2})(?:/|-|$)", 1, 2, None, False),
-    )
+    """Publication date in the path of a URL: year, month, day; day, month's name, year; month's name, year; year, month."""
+    return _date_of_words(_words(F.regexp_replace(c, "^[a-zA-Z]+://[^/]*", "")), ("YND", "DMY", "MY", "YN"))
 
 
 def cut_at_sentence(c: Column, limit: int) -> Column:

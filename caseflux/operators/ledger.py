@@ -6,7 +6,7 @@ Nothing is updated: a row is live while no other row supersedes it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COLUMNS = ("decision_id", "enriched_event_id", "deduplicated_event_id", "action", "certainty", "superseded_by", "created_at")
@@ -64,9 +64,12 @@ def restore(decisions: DataFrame, snapshots: DataFrame, at: Column) -> DataFrame
 
 
 def keep_latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Upsert by key: of rows with equal keys the last by ``order`` stays."""
-    w = Window.partitionBy(*keys).orderBy(*(F.desc_nulls_last(c) for c in order))
-    return rows.withColumn("_place", F.row_number().over(w)).where("_place = 1").drop("_place")
+    """Upsert by key: of rows with equal keys the last by ``order`` stays; nulls come first.
+
+    An aggregate, so that rows of a hot key shrink to one a task before they are moved.
+    """
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("_row"))
+    return last.select("_row.*")
 
 
 def calibrated_threshold(current: float, sample: int, false_merges: int, missed_merges: int) -> float:

@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caseflux.functions import incidents as inc
-from caseflux.functions import titles as ti
 from caseflux.plans.registry import query
 from caseflux.plans.series import ACTIVE, EV, HALF, MEMBERS, RISK, RISKED, SEV, active, events, members, risks
 from caseflux.sources.tables import table

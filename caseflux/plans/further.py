@@ -184,7 +184,7 @@ def x23(spark, d):
 
 
 
-@query("x32_printable_titles", None)
+@query("x32_printable_titles", f"select distinct enriched_event_id, trim(regexp_replace(regexp_replace(title, '[\\p{{Cc}}\\p{{Cf}}]', ' ', 'g'), '\\s+', ' ', 'g')) as title from {EV} where title is not null")
 def x32(spark, d):
     return events(spark, d).where("title is not null").select("enriched_event_id", tx.printable(F.col("title")).alias("title")).distinct()
 

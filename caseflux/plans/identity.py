@@ -131,7 +131,7 @@ sql_query("z74_displayed_organisations", f"select m.deduplicated_event_id, coale
 sql_query(
     "d16_best_titles",
     f"""with c as (select m.deduplicated_event_id as g, e.enriched_event_id as a, trim(regexp_replace(e.title, '\\s+', ' ', 'g')) as t, {KEY.format('e.primary_entity')} as k from {MEMBERS} m join {EV} e on e.enriched_event_id = m.enriched_event_id where trim(e.title) <> ''),
-    p as (select g, a, k, t, string_split(t, ' | ') as bars from c), q as (select g, a, k, case when len(bars) > 1 and length(list_extract(bars, len(bars))) between 2 and 40 and length(list_extract(bars, 1)) >= 20 and regexp_matches(lower(list_extract(bars, 1)), '{INCIDENT}') then list_extract(bars, 1) else t end as t from p),
+    p as (select g, a, k, t, regexp_split_to_array(t, ' [|] ') as bars from c), q as (select g, a, k, case when len(bars) > 1 and length(list_extract(bars, len(bars))) between 2 and 40 and length(list_extract(bars, 1)) >= 20 and regexp_matches(lower(list_extract(bars, 1)), '{INCIDENT}') then list_extract(bars, 1) else t end as t from p),
     s as (select g, a, t, (2 * least(3, len(list_distinct(regexp_extract_all(lower(t), '{INCIDENT}', 0)))) + case when k is not null and k <> '' and contains(lower(t), list_extract(string_split(k, ' '), 1)) then 3 else 0 end + case when length(t) between 20 and 95 then 2 when length(t) < 20 then -3 else -1 end - case when t = upper(t) then 2 else 0 end + case when regexp_matches(t, '\\(([A-Z][a-z]+ )?[0-9]{{4}}\\)$') then 1.5 else 0 end)::double as score from q),
     u as (select r.deduplicated_event_id as g, min(r.title) as stored from asd_risk_classifications_20251118_154100 r group by 1)
     select s.g as deduplicated_event_id, case when coalesce(max(case when s.t = u.stored then s.score end), -99) >= max(s.score) then min(u.stored) else max_by(s.t, (s.score, -length(s.t), s.t)) end as title, max(s.score) as score from s left join u on u.g = s.g group by s.g""",

@@ -110,7 +110,7 @@ PAIR = "least(left_enriched_event_id, right_enriched_event_id) || '|' || greates
 
 
 
-@query("j21_nearest_by_cosine", None)
+@query("j21_nearest_by_cosine", "select query_id, vec_id, 1 as place, round(c, 6) as cosine from (select q.vec_id as query_id, v.vec_id, list_cosine_similarity(q.embedding::double[], v.embedding::double[]) as c, row_number() over (partition by q.vec_id order by list_cosine_similarity(q.embedding::double[], v.embedding::double[]) desc, v.vec_id) as k from embeddings q join embeddings v on q.vec_id % 20 = 0 and q.vec_id <> v.vec_id) where k = 1")
 def j21(spark, d):
     """Embedding neighbours: every row whose id is divisible by 20 against all rows, in blocks.
 
@@ -162,7 +162,7 @@ def w09(spark, d):
     return p.withColumn("prior", F.lag("n").over(w)).withColumn("swing", F.round(F.abs(F.col("n") - F.col("prior")) / F.col("prior"), 4))
 
 
-@query("w10_date_anchors", None)
+@query("w10_date_anchors", f"with recursive d as (select primary_entity, event_date, row_number() over (partition by primary_entity order by event_date) as i from (select distinct primary_entity, event_date from {ACTIVE} where trim(primary_entity) <> '')), r as (select primary_entity, event_date, i, event_date as anchor from d where i = 1 union all select d.primary_entity, d.event_date, d.i, case when date_diff('day', r.anchor, d.event_date) > 3 then d.event_date else r.anchor end from r join d on d.primary_entity = r.primary_entity and d.i = r.i + 1) select primary_entity, event_date::varchar as day, anchor::varchar as anchor from r")
 def w10(spark, d):
     """Greedy anchors of each entity's days: the earliest day not within 3 days of an earlier anchor."""
     from caseflux.operators.runs import greedy_anchors

@@ -67,8 +67,9 @@ def word_set(x: str) -> str:
 
 
 def hits(x: str, terms: str) -> str:
-    """How many of the terms (separated by |) stand in x as whole words, each once."""
-    return "(" + " + ".join(f"regexp_matches(lower({x}), '\\b{t}\\b')::int" for t in terms.split("|")) + ")"
+    """How many of the terms (separated by |) stand in x as whole words of plain letters, each once."""
+    plain = f"' ' || regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g') || ' '"
+    return "(" + " + ".join(f"regexp_matches({plain}, ' {t} ')::int" for t in terms.split("|")) + ")"
 
 
 sql_query("x06_canonical_v2", f"select name, {canonical('name')} as canonical from {NAMES}", "Second canonical form of names.")
@@ -120,7 +121,7 @@ sql_query(
     f"select enriched_event_id, title, len(list_filter(regexp_extract_all(title, '(?:19|20)[0-9][0-9]', 0), lambda y: y = substr(event_date::varchar, 1, 4))) > 0 as names_the_year, regexp_matches(lower(title), '(?:january|february|march|april|may|june|july|august|september|october|november|december) (?:[0-9]+,? )?(?:19|20)[0-9][0-9]') as names_a_month from {TITLES} where event_date is not null",
     "Does the title itself state the year of the event, or a month and year?",
 )
-PARTIAL = "case when regexp_matches({x}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') then try_cast(substr({x}, 1, 10) as date) when regexp_matches({x}, '^[0-9]{{4}}-[0-9]{{2}}$') then try_cast({x} || '-01' as date) when regexp_matches({x}, '^[0-9]{{4}}$') then try_cast({x} || '-01-01' as date) end"
+PARTIAL = "case when regexp_matches({x}, '^[12][0-9]{{3}}-[0-9]{{2}}-[0-9]{{2}}') then try_cast(substr({x}, 1, 10) as date) when regexp_matches({x}, '^[12][0-9]{{3}}-[0-9]{{2}}$') then try_cast({x} || '-01' as date) when regexp_matches({x}, '^[12][0-9]{{3}}$') then try_cast({x} || '-01-01' as date) end"
 _CUT_DATES = "(select distinct decision_id, case when date_left is null then null when date_delta_days is null then substr(trim(date_left), 1, 7) when date_delta_days > 300 then substr(trim(date_left), 1, 4) else trim(date_left) end as t from match_evidence)"
 sql_query("x25_partial_dates", f"select decision_id, t, ({PARTIAL.format(x='t')})::varchar as day from {_CUT_DATES} where t is not null", "Days, months (their first day) and years (1 January) as dates; anything else is null.")
 sql_query(
@@ -136,6 +137,11 @@ sql_query(
     f"select enriched_event_id, title, case when length(trim(title)) < 20 then 'short' when regexp_matches(lower(title), '{PUBLISHER}') then 'publisher' when title = upper(title) and regexp_matches(title, '[A-Z]') then 'shouting' when regexp_matches(title, '(\\.\\.\\.|…)$') then 'cut off' when not regexp_matches(lower(title), '{INCIDENT}') then 'no incident word' end as reason from {TITLES}",
     "Why a title should be written anew; null where it is fine.",
 )
+_BARS = "regexp_split_to_array(trim(regexp_replace(title, '[ \\t\\r\\n]+', ' ', 'g')), ' [-–—|] ')"
+_SPLIT = f"(select enriched_event_id, primary_entity, trim(regexp_replace(title, '[ \\t\\r\\n]+', ' ', 'g')) as t, {_BARS} as bars from {TITLES})"
+_CLEAN = f"(select enriched_event_id, primary_entity, case when len(bars) > 1 and length(list_extract(bars, len(bars))) between 2 and 40 and length(t) - length(list_extract(bars, len(bars))) - 3 >= 20 and regexp_matches(lower(substr(t, 1, length(t) - length(list_extract(bars, len(bars))) - 3)), '{INCIDENT}') then trim(substr(t, 1, length(t) - length(list_extract(bars, len(bars))) - 3)) else t end as title from {_SPLIT})"
+sql_query("x33_clean_titles", f"select enriched_event_id, title from {_CLEAN}", "Titles without the publisher's name at the end, if a usable headline is left.")
+sql_query("x34_title_scores", f"select enriched_event_id, title, (2 * least(3, len(list_distinct(regexp_extract_all(lower(title), '{INCIDENT}', 0)))) + case when length(trim(primary_entity)) >= 4 and contains(lower(title), lower(list_extract(string_split(trim(primary_entity), ' '), 1))) then 3 else 0 end - case when regexp_matches(lower(title), '{PUBLISHER}') then 6 else 0 end + case when length(title) between 20 and 95 then 2 when length(title) < 20 then -3 else -1 end - case when title = upper(title) and regexp_matches(title, '[A-Z]') then 2 else 0 end + case when regexp_matches(title, '[(]([A-Z][a-z]+ )?[0-9]{{4}}[)]$') then 1.5 else 0 end)::double as score from {_CLEAN}", "How well a headline names an incident and its victim.")
 REGULATORS = "ombudsman|commissioner|regulator|tribunal|parliament|police|prudential"
 ATTACKERS = "gang|hackers?|ransomware|group of criminals|threat actor|collective"
 GENERIC_NAMES = "'unknown', 'various', 'multiple', 'undisclosed', 'unnamed', 'n/a', 'none', 'not stated', 'tbc', 'anonymous', 'several organisations', 'customers', 'individuals', 'users'"

@@ -35,7 +35,10 @@ def x03(spark, d):
     return table(spark, d, "entities").select("entity_id", F.array_join(nm.name_tokens(F.col("entity_name")), " ").alias("tokens"))
 
 
-@query("x04_blocking_keys", None)
+_KEYS = f"(select entity_id, {KEY.format('entity_name')} as k, {TOKENS.format('entity_name')} as w from entities)"
+
+
+@query("x04_blocking_keys", f"select distinct entity_id, block from (select entity_id, k as block from {_KEYS} union all select entity_id, array_to_string(w, ' ') from {_KEYS} union all select entity_id, w[1] || ' ' || w[2] from {_KEYS} where len(w) >= 2 union all select entity_id, w[1] from {_KEYS} union all select entity_id, array_to_string(list_transform(w, lambda x: substr(x, 1, 1)), '') from {_KEYS} where len(string_split(k, ' ')) >= 3 and len(w) >= 3) where block <> '' and block not in ({_GENERIC})")
 def x04(spark, d):
     return table(spark, d, "entities").select("entity_id", F.explode(nm.blocking_keys(F.col("entity_name"))).alias("block"))
 
@@ -102,13 +105,30 @@ def f13(spark, d):
     return rows.groupBy("enriched_event_id").agg(F.max(F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 4)).alias("score"))
 
 
-@query("x21_first_date", None)
+_DAY_SQL = "case when try_cast({y} as int) between 1995 and 2100 and try_cast({m} as int) between 1 and 12 and try_cast({d} as int) >= 1 then {y} || '-' || lpad(({m})::int::varchar, 2, '0') || '-' || lpad(least(({d})::int, case when ({m})::int = 2 then 28 when ({m})::int in (4, 6, 9, 11) then 30 else 31 end)::varchar, 2, '0') end"
+_MON = "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+_YR, _DY, _GAP, _EDGE = "((?:19|20)[0-9]{2})", "([0-9]{1,2})(?:st|nd|rd|th)?", "[^a-z0-9]+", "(?:^|[^a-z0-9])"
+
+
+def _date_sql(x: str, form: str) -> str:
+    """A date of one form by one pattern: the oracle of the word-wise reading."""
+    part = {"D": _DY, "M": _MON, "Y": _YR, "N": "(0?[1-9]|1[0-2])"}
+    pattern = _EDGE + _GAP.join(part[c] for c in form) + "(?:$|[^a-z0-9])"
+    got = {c: f"regexp_extract({x}, '{pattern}', {k + 1})" for k, c in enumerate(form)}
+    month = f"((strpos('janfebmaraprmayjunjulaugsepoctnovdec', substr({got['M']}, 1, 3)) + 2) / 3)::int::varchar" if "M" in got else got["N"]
+    return "case when " + f"regexp_matches({x}, '{pattern}')" + " then " + _DAY_SQL.format(y=got["Y"], m=month, d=got.get("D", "'1'")) + " end"
+
+
+_ISO_SQL = "case when regexp_matches({x}, '\\b(?:19|20)[0-9]{{2}}-[0-9]{{1,2}}-[0-9]{{1,2}}\\b') then " + _DAY_SQL.format(y="regexp_extract({x}, '\\b((?:19|20)[0-9]{{2}})-[0-9]{{1,2}}-[0-9]{{1,2}}\\b', 1)", m="regexp_extract({x}, '\\b(?:19|20)[0-9]{{2}}-([0-9]{{1,2}})-[0-9]{{1,2}}\\b', 1)", d="regexp_extract({x}, '\\b(?:19|20)[0-9]{{2}}-[0-9]{{1,2}}-([0-9]{{1,2}})\\b', 1)") + " end"
+
+
+@query("x21_first_date", "select enriched_event_id, coalesce(" + ", ".join([_ISO_SQL.format(x="t"), *(_date_sql("lower(t)", f) for f in ("DMY", "MDY", "MY"))]) + ") as day from (select distinct enriched_event_id, concat_ws(' ', title, summary) as t from extracted_event_details) where day is not null")
 def x21(spark, d):
     rows = table(spark, d, "extracted_event_details").select("enriched_event_id", "title", "summary").distinct()
     return rows.select("enriched_event_id", tx.first_date(F.concat_ws(" ", "title", "summary")).alias("day")).where("day is not null")
 
 
-@query("x22_url_date", None)
+@query("x22_url_date", "select doc_id, coalesce(" + ", ".join(_date_sql("p", f) for f in ("YND", "DMY", "MY", "YN")) + ") as day from (select doc_id, lower(regexp_replace(source_url, '^[a-zA-Z]+://[^/]*', '')) as p from documents where source_url is not null) where day is not null")
 def x22(spark, d):
     return table(spark, d, "documents").select("doc_id", tx.url_date(F.col("source_url")).alias("day")).where("day is not null")
 
@@ -140,7 +160,7 @@ def x56(spark, d):
     return rows.select("decision_id", F.get_json_object("evidence_json", "$.date_delta_days").try_cast("int").alias("delta"), F.get_json_object("evidence_json", "$.entity_match").alias("entity_match")).distinct()
 
 
-@query("x58_cosine_to_centroid", None)
+@query("x58_cosine_to_centroid", "with p as (select label, i, avg(x) as m from (select label, unnest(embedding)::double as x, unnest(generate_series(1, len(embedding))) as i from embeddings where embedding is not null) group by 1, 2), c as (select label, list(m order by i) as centre from p group by 1) select e.vec_id, e.label, round(list_cosine_similarity(e.embedding::double[], c.centre), 6) as cosine from embeddings e join c using (label)")
 def x58(spark, d):
     from caseflux.operators.vectors import cosine
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -28,21 +30,64 @@ def first_seen(events: DataFrame, late: str = "7 days") -> DataFrame:
     return rows.dropDuplicatesWithinWatermark(["event_id"]) if rows.isStreaming else rows.dropDuplicates(["event_id"])
 
 
-def upsert_by_key(target: str, keys: list[str], order: list[str]):
+def _filesystem(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, target: str, before: int | None = None) -> dict[int, int]:
+    """Bucket -> version of the last complete pointer (before a batch, where that is given)."""
+    at, fs = _filesystem(spark, target)
+    if not fs.exists(at):
+        return {}
+    names = [s.getPath().getName() for s in fs.listStatus(at)]
+    done = [int(n[8:]) for n in names if n.startswith("pointer-") and n[8:].isdigit() and (before is None or int(n[8:]) < before)]
+    if not done:
+        return {}
+    text = spark.read.text(f"{target}/pointer-{max(done)}", wholetext=True).first()[0]
+    return {int(k): v for k, v in json.loads(text).items()}
+
+
+def _state(spark: SparkSession, target: str, schema: StructType, versions: dict[int, int]) -> DataFrame | None:
+    paths = [f"{target}/v{v}/bucket={b}" for b, v in sorted(versions.items())]
+    return spark.read.schema(schema).parquet(*paths) if paths else None
+
+
+def read_upserted(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+    """The table that ``upsert_by_key`` keeps: the versions that its last pointer names."""
+    rows = _state(spark, target, schema, _versions(spark, target))
+    return spark.createDataFrame([], schema) if rows is None else rows
+
+
+def upsert_by_key(target: str, keys: list[str], order: list[str], buckets: int = 16):
     """A ``foreachBatch`` function that keeps the latest row of each key under ``target``.
 
-    Each batch writes a new version folder and then its pointer, so a lost
-    executor or a repeated batch leaves the last complete version readable.
+    Keys are spread over buckets; a batch writes anew only the buckets it
+    touches, in a version folder of its own, and then a pointer that names the
+    version of every bucket.  A pointer appears by one rename, so a batch that
+    breaks off leaves the last complete state readable, and a repeated batch
+    starts from the state before it.
     """
     from caseflux.operators.ledger import keep_latest
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        done = sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(path) if s.getPath().getName().startswith("v")) if fs.exists(path) else []
-        older = [v for v in done if v < batch_id]
-        merged = batch if not older else spark.read.schema(batch.schema).parquet(f"{target}/v{older[-1]}").unionByName(batch)
-        keep_latest(merged, keys, order).write.mode("overwrite").parquet(f"{target}/v{batch_id}")
+        versions = _versions(spark, target, batch_id)
+        placed = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        touched = sorted(r[0] for r in placed.select("_bucket").distinct().collect())
+        if not touched:
+            return
+        old = _state(spark, target, batch.schema, {b: v for b, v in versions.items() if b in touched})
+        rows = batch if old is None else old.unionByName(batch)
+        latest = keep_latest(rows, keys, order).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        latest.write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/v{batch_id}")
+        pointer = json.dumps({**versions, **dict.fromkeys(touched, batch_id)})
+        draft, fs = _filesystem(spark, f"{target}/_pointer-{batch_id}")
+        out = fs.create(draft, True)
+        out.writeBytes(pointer)
+        out.close()
+        final, _ = _filesystem(spark, f"{target}/pointer-{batch_id}")
+        fs.delete(final, False)
+        fs.rename(draft, final)
 
     return run

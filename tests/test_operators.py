@@ -132,22 +132,9 @@ def test_stream_counts_equal_the_batch(spark, tmp_path):
     assert got == {tuple(r) for r in st.daily_counts(src).collect()} and random.random() < 1
 
 
-def test_title_cleaning_and_scores(spark):
-    from caseflux.functions import titles as ti
 
-    rows = [("Acme data breach exposes 5,000 clients - iTnews",), ("Acme cyber attack causes week-long outage",), ("Newsroom",), ("  ",), (None,), ("ACME HACKED AGAIN IN RANSOMWARE ATTACK",)]
-    got = spark.createDataFrame(rows, "t string").select(ti.clean_title(F.col("t")), ti.title_score(F.col("t"))).collect()
-    assert got[0][0] == "Acme data breach exposes 5,000 clients" and got[1][0].endswith("week-long outage")
-    assert got[0][1] == 4.0 and got[2][1] == -9.0 and got[3][1] == got[4][1] == -100.0 and got[5][1] == 6.0
 
 
-def test_dates_leave_the_text(spark):
-    from caseflux.functions import titles as ti
-
-    rows = [("Lost on 3 May 2024, found.",), ("Since May 3rd, 2024 nothing",), ("May day march 5 km",), (None,)]
-    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(ti.without_dates(F.col("t"))).collect()]
-    assert got[0] == "Lost, found." and got[1] == "nothing" and got[3] is None
-
 
 def test_poisson_regression_gives_the_crude_ratio(spark):
     from caseflux.operators.regression import poisson_glm
@@ -175,3 +162,108 @@ def test_name_parts(spark):
     assert got[0] == ("acme", ["Acme", "Borumal", "Zen", "Quo"], True)
     assert got[1][0] == "university of queensland" and len(got[1][1]) == 1 and got[1][2] is True
     assert got[2][0] == "" and got[2][1] == [] and got[2][2] is False
+
+
+def test_greedy_stars_against_a_plain_walk(spark, work):
+    from caseflux.operators.stars import greedy_stars
+
+    rng = random.Random(3)
+    n = 120
+    edges = {(min(a, b), max(a, b)) for a, b in ((rng.randrange(n), rng.randrange(n)) for _ in range(160)) if a != b} | {(k, k + 1) for k in range(40)}
+    seed: dict[int, int] = {}
+    for k in range(n):
+        seed[k] = next((j for j in range(k) if seed[j] == j and (j, k) in edges), k)
+    nodes = spark.createDataFrame([(k,) for k in range(n)] + [(5,)], "n long")
+    got = {r["n"]: r["seed"] for r in greedy_stars(nodes, spark.createDataFrame([*edges, (7, None)], "a long, b long"), work, "n", "a", "b").collect()}
+    assert got == seed
+    assert greedy_stars(nodes.where("false"), spark.createDataFrame([], "a long, b long"), work, "n", "a", "b").count() == 0
+
+
+def test_connected_components_of_names(spark, work):
+    from caseflux.operators.components import connected_components
+
+    edges = [(f"c{k:03d}", f"c{k + 1:03d}") for k in range(60)] + [("x", "y"), ("y", "x"), ("z", None), ("q", "q")]
+    got = {r["node"]: r["label"] for r in connected_components(spark.createDataFrame(edges, "a string, b string"), work, "a", "b").collect()}
+    assert got == {**{f"c{k:03d}": "c000" for k in range(61)}, "x": "x", "y": "x", "q": "q"}
+
+
+def test_upserts_survive_a_broken_batch(spark, tmp_path):
+    import shutil
+
+    from caseflux.streaming.events import read_upserted, upsert_by_key
+
+    target, schema = str(tmp_path / "t"), "k string, v int, at int"
+    put = upsert_by_key(target, ["k"], ["at", "v"], buckets=4)
+    batch = lambda rows: spark.createDataFrame(rows, schema)
+    state = lambda: {tuple(r) for r in read_upserted(spark, target, batch([]).schema).collect()}
+    assert state() == set()
+    put(batch([("a", 1, 1), ("b", 1, 1), ("a", 2, 2)]), 0)
+    put(batch([("a", 9, 1), ("c", 3, 3), (None, 4, 4)]), 1)
+    want = {("a", 2, 2), ("b", 1, 1), ("c", 3, 3), (None, 4, 4)}
+    assert state() == want
+    put(batch([("c", 3, 3), ("a", 9, 1), (None, 4, 4)]), 1)  # delivered again
+    assert state() == want
+    put(batch([("b", 7, 7)]), 2)
+    (tmp_path / "t" / "pointer-2").unlink()  # broke off before its pointer
+    (tmp_path / "t" / ".pointer-2.crc").unlink(missing_ok=True)
+    assert state() == want
+    put(batch([("b", 8, 8)]), 2)
+    assert state() == want - {("b", 1, 1)} | {("b", 8, 8)}
+    shutil.rmtree(target)
+
+
+def test_five_censored_families(spark):
+    import math
+
+    from caseflux.operators.survival import parametric_models
+
+    rng = random.Random(8)
+    rows = []
+    for k in range(400):
+        t = max(1, int(300 * (-math.log(1 - rng.random())) ** (1 / 1.8)))  # Weibull, shape 1.8
+        rows.append((f"e{k}", min(t, 500), int(t <= 500)))
+    spells = spark.createDataFrame(rows, "entity string, duration_days int, event int")
+    got = {r["family"]: r for r in parametric_models(spells).collect()}
+    e, x = sum(r[2] for r in rows), sum(r[1] for r in rows)
+    assert abs(got["exponential"]["log_likelihood"] - (e * math.log(e / x) - e)) < 1e-9
+    assert abs(math.exp(got["weibull"]["theta"][1]) - 1.8) < 0.2 and got["weibull"]["log_likelihood"] > got["exponential"]["log_likelihood"] + 10
+    assert got["generalised gamma"]["log_likelihood"] >= got["weibull"]["log_likelihood"] - 1e-6
+    assert min(got.values(), key=lambda r: r["aic"])["family"] in ("weibull", "generalised gamma") and len(got) == 5
+    assert parametric_models(spells.where("event = 0")).count() == 0
+
+
+def test_likelihood_ratio_and_contrast_closed_forms(spark):
+    import math
+
+    from caseflux.operators.regression import contrast, likelihood_ratio
+
+    rows = [("a", 6, 61071.0), ("b", 27, 157782.0), ("c", 9, 40000.0)]
+    df = spark.createDataFrame(rows, "band string, e int, x double").selectExpr("*", "1 as one")
+    test = likelihood_ratio(df, ["band"], [], "e", "x").first()
+    total = math.fsum(e * math.log(e / x) for _, e, x in rows) - 42 * math.log(42 / sum(x for *_, x in rows))
+    assert abs(test["statistic"] - 2 * total) < 1e-6 and test["df"] == 2 and 0 < test["p_value"] < 1
+    row = contrast(df, ["band"], "e", "x", {"band=b": 1.0, "band=c": -1.0}).first()
+    assert abs(row["estimate"] - math.log((27 / 157782) / (9 / 40000))) < 1e-6 and abs(row["se"] - (1 / 27 + 1 / 9) ** 0.5) < 1e-6
+
+
+def test_wipe_needs_the_allow_list(spark, tmp_path):
+    import pytest
+
+    from caseflux.sources.sinks import wipe
+
+    for name in ("child", "parent"):
+        spark.range(3).write.parquet(str(tmp_path / name))
+    paths = {n: str(tmp_path / n) for n in ("parent", "child")}
+    with pytest.raises(ValueError):
+        wipe(spark, paths, ("child",), ["child", "parent"])
+    assert spark.read.parquet(paths["child"]).count() == 3
+    assert wipe(spark, paths, ("child", "parent"), ["child", "parent"]) == {"child": 3, "parent": 3}
+    assert spark.read.parquet(paths["child"]).count() == spark.read.parquet(paths["parent"]).count() == 0
+
+
+def test_report_page_holds_its_data(spark, tmp_path):
+    from caseflux.sources.sinks import write_html_report
+
+    write_html_report({"a": spark.createDataFrame([("</script>", 1)], "x string, n int"), "b": spark.range(2).toDF("id")}, str(tmp_path / "page"))
+    page = "".join(p.read_text() for p in (tmp_path / "page").glob("part-*"))
+    assert page.count("</script>") == 1 and '\\"n\\":1' in page

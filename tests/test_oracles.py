@@ -45,4 +45,5 @@ def test_query_gives_the_oracles_rows(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_query_without_oracle_runs(spark, name):
-    assert catalog.QUERIES[name](spark, FOLDER).columns
+    rows = catalog.QUERIES[name](spark, FOLDER)
+    assert rows.columns and rows.count() >= 0
