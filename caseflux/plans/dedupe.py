@@ -8,6 +8,7 @@ are days and organisations in it, however many records it has.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflux.operators.stars import greedy_stars
@@ -34,7 +35,28 @@ TEMPORAL = "case when {g} is null then 0.5 when {g} = 0 then 1.0 when {g} <= 7 t
 #: The rule that ties two records, the first that holds; null where none does.
 RULE = f"case when same and gap = 0 then '1' when same_title and gap = 0 then 'exact' when same and title_sim >= 0.15 then '2' when same and text_sim >= 0.2 then '2b' when text_sim >= 0.35 and gap <= 90 then '3' when not same and gap > 365 then null when title_sim < 0.3 then null when 0.4 * title_sim + 0.3 * (same)::int + 0.2 * text_sim + 0.1 * ({TEMPORAL.format(g='gap')}) >= 0.75 then 'score' end"
 EDGES = f"(select pi, pj, i, j, rule from (select pi, pj, i, j, {RULE} as rule from {_FEATURES}) where rule is not null)"
-sql_query("j15_fuzzy_pairs", f"select i, j, rule from {EDGES}", "Pairs of records that a rule ties, the earlier of the input order first.")
+
+
+def staged(spark: SparkSession, d: str, sql: str) -> DataFrame:
+    """A plan over nodes and blocks that are written once, however often the text names them."""
+    work, known = Workspace(spark, "dedupe"), {}
+    for name, part in (("dedupe_nodes", NODES), ("dedupe_blocks", BLOCKS)):
+        if part in sql or name == "dedupe_nodes":
+            work.save(run(spark, d, f"select * from {_named(part, known)}"), name).createOrReplaceTempView(name)
+            known[part] = name
+    return run(spark, d, _named(sql, known))
+
+
+def _named(sql: str, known: dict[str, str]) -> str:
+    for part in sorted(known, key=len, reverse=True):
+        sql = sql.replace(part, known[part])
+    return sql
+
+
+@query("j15_fuzzy_pairs", f"select i, j, rule from {EDGES}")
+def j15(spark, d):
+    """Pairs of records that a rule ties, the earlier of the input order first."""
+    return staged(spark, d, f"select i, j, rule from {EDGES}")
 
 
 @query(
@@ -48,9 +70,9 @@ def d20(spark, d):
 
     Not transitive: ties to members that are no seed count for nothing.
     """
-    nodes = run(spark, d, f"select place from {NODES}")
-    stars = greedy_stars(nodes, run(spark, d, f"select pi, pj from {EDGES}"), Workspace(spark, "d20"), "place", "pi", "pj")
-    names = run(spark, d, f"select place, id from {NODES}")
+    edges = staged(spark, d, f"select pi, pj from {EDGES}")
+    names = spark.table("dedupe_nodes").select("place", "id")
+    stars = greedy_stars(names.select("place"), edges, Workspace(spark, "d20"), "place", "pi", "pj")
     seeds = stars.join(names.withColumnRenamed("id", "rep"), "place").join(names.select(F.col("place").alias("seed"), F.col("id").alias("group_id")), "seed")
     return run(spark, d, f"select id, rep from {CLASS}").join(seeds, "rep").select(F.col("id").alias("enriched_event_id"), "group_id")
 
@@ -150,7 +172,14 @@ sql_query("d42_duplicate_probe", f"select id, place, other from (select a.id, b.
 # J13: industries by the first keyword that stands in a name
 _GROUPS = "(values (1, 'hospital|health|medical|pharmacy', 'Health'), (2, 'school|university|college', 'Education'), (3, 'council|department|authority|government', 'Government'), (4, 'bank|insurance|superannuation', 'Finance'), (5, 'gas|energy|water|power', 'Utilities'), (6, 'software|telecom|analytics', 'Technology')) g(display_order, words, category)"
 sql_query("j13_keyword_categories", f"select coalesce(c.category, 'Others') as category, count(*) as n from (select e.entity_id, min_by(g.category, g.display_order) as category from entities e left join {_GROUPS} on regexp_matches(lower(e.entity_name), g.words) group by e.entity_id) c group by 1", "Category of a name by the first keyword list it meets; the lists are fixed and few.")
-sql_query("j14_candidate_pairs", f"select distinct least(i, j) as left_id, greatest(i, j) as right_id from {_PAIRS}", "Candidate pairs of the blocks, each once; records of one organisation and day count as one.")
+
+
+@query("j14_candidate_pairs", f"select distinct least(i, j) as left_id, greatest(i, j) as right_id from {_PAIRS}")
+def j14(spark, d):
+    """Candidate pairs of the blocks, each once; records of one organisation and day count as one."""
+    return staged(spark, d, f"select distinct least(i, j) as left_id, greatest(i, j) as right_id from {_PAIRS}")
+
+
 sql_query(
     "j18_blocked_merges",
     f"select distinct a.deduplicated_event_id as target, b.deduplicated_event_id as source from (select distinct least(e.left_enriched_event_id, e.right_enriched_event_id) as i, greatest(e.left_enriched_event_id, e.right_enriched_event_id) as j from match_evidence e join decisions x on x.decision_id = e.decision_id where x.action in ('keep_separate', 'revert') and x.decided_by = 'human') o join {MEMBERS} a on a.enriched_event_id = o.i join {MEMBERS} b on b.enriched_event_id = o.j where a.deduplicated_event_id <> b.deduplicated_event_id",
@@ -174,3 +203,4 @@ sql_query("z71_recurrence_run", f"select r.k, r.run::bigint as run, count(*) as
 sql_query("z72_retitled", f"select m.deduplicated_event_id, max_by(o.title, (least(3, len(list_distinct(regexp_extract_all(lower(o.title), 'breach|attack|ransom|leak|exposed', 0)))), -length(o.title), o.title)) as title from {MEMBERS} m join {ONE} o on o.id = m.enriched_event_id where o.title is not null group by 1", "New titles of all incidents.")
 sql_query("z54_merged_cluster", f"select k, max_by(id, (entity is not null, -date_diff('day', date '2000-01-01', coalesce(day, date '2099-01-01')), length(title), id)) as keep, count(*) - 1 as merged from {KEYED} where k <> '' group by k having count(*) >= 2", "Of a cluster named by hand the record with a name, the earliest day and the longest title stays.")
 sql_query("z26_validation_runs", f"select id, len(list_filter(list_value(case when title is null then 'title' end, case when day > date '2025-12-31' then 'future' end, case when records < 0 then 'count' end), lambda e: e is not null)) as errors, len(list_filter(list_value(case when entity is null then 'victim' end, case when summary is null or length(summary) < 50 then 'text' end, case when dup.n > 1 then 'duplicate' end), lambda e: e is not null)) as warnings from {KEYED} x left join (select k as dk, day as dday, count(*) as n from {KEYED} where k <> '' and day is not null group by 1, 2) dup on dup.dk = x.k and dup.dday = x.day", "Six checks of a record, the duplicate probe among them.")
+sql_query("w04_run_spans", f"select k, run::bigint as run, date_diff('day', min(day), max(day)) as span_days, coalesce(max(case when gap < 90 then gap end), 0) as widest_gap from {_RUNS} group by k, run having count(*) >= 2", "Span and widest gap of each run.")

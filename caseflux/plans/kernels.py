@@ -287,3 +287,4 @@ sql_query("z30_evidence_structs", "select distinct decision_id, array_to_string(
 sql_query("z35_victim_words", f"select name, array_to_string(list_sort(list_filter(list_distinct({TOKENS.format('name')}), lambda w: length(w) >= 4)), ' ') as words from {NAMES}", "Words of a victim's name that may stand in a title.")
 sql_query("z34_preferred_variants", f"select name_key, max_by(name, (regexp_matches(name, '(?i)(pty|ltd|limited|inc)\\.?$')::int, length(name), name)) as preferred, count(*) as variants from (select name, {KEY.format('name')} as name_key from {NAMES}) group by 1", "The variant with a legal form, then the longest.")
 sql_query("z76_date_ranges", "select r, try_cast(trim(list_extract(string_split(r, ':'), 1)) as date)::varchar as first_day, try_cast(trim(list_extract(string_split(r, ':'), 2)) as date)::varchar as last_day, len(string_split(r, ':')) = 2 as well_formed from (values ('2024-01-01:2024-06-30'), ('2024-01-01'), ('x:y'), ('2023-07-01 : 2023-12-31')) t(r)", "Date ranges of an argument.")
+sql_query("x20_term_counts", f"select enriched_event_id, {hits('title', 'ransomware|phishing|breach|attack|outage')} as terms from {TITLES}", "Listed terms that stand in a title as whole words, each counted once.")

@@ -126,3 +126,9 @@ sql_query("d13_supported_records", f"select g as deduplicated_event_id, stored,
 sql_query("d15_recounted", f"select g as deduplicated_event_id, stored, best, case when stored is not distinct from best then 'same' when best is null then 'cleared' when best < 50 or best > 1000000000 then 'flagged' else 'corrected' end as outcome from (select r.g, r.stored, c.best from (select deduplicated_event_id as g, max(records_affected) as stored from {RISKED} group by 1) r left join (select g, max_by(v, (n, v)) as best from (select x.deduplicated_event_id as g, e.records_affected as v, count(*) as n from {_MEM} x join {EV} e on e.enriched_event_id = x.enriched_event_id where e.records_affected > 0 group by 1, 2) group by g) c on c.g = r.g)", "Counts derived again from the members, held against what is plausible.")
 sql_query("d14_redated", f"select r.deduplicated_event_id, coalesce(c.day, t.day, m.day, u.day)::varchar as day, case when c.day is not null then 'consensus' when t.day is not null then 'text' when m.day is not null then 'earliest' when u.day is not null then 'seen' else 'none' end as origin from (select distinct deduplicated_event_id from {RISKED}) r left join (select g, min_by(d, (-n, mo)) as day from (select x.deduplicated_event_id as g, strftime(e.event_date, '%Y-%m') as mo, count(*) as n, min(e.event_date) as d from {_MEM} x join {EV} e on e.enriched_event_id = x.enriched_event_id where e.event_date is not null group by 1, 2) where n >= 2 group by g) c on c.g = r.deduplicated_event_id left join (select x.deduplicated_event_id as g, min(try_cast(nullif(regexp_extract(e.summary, '((?:19|20)[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}})', 1), '') as date)) as day from {_MEM} x join extracted_event_details e on e.enriched_event_id = x.enriched_event_id group by 1) t on t.g = r.deduplicated_event_id left join (select x.deduplicated_event_id as g, min(e.event_date) as day from {_MEM} x join {EV} e on e.enriched_event_id = x.enriched_event_id group by 1) m on m.g = r.deduplicated_event_id left join (select x.deduplicated_event_id as g, min(e.discovered_at::date) as day from {_MEM} x join extracted_event_details e on e.enriched_event_id = x.enriched_event_id group by 1) u on u.g = r.deduplicated_event_id", "Date ladder: consensus, text, earliest, day it was seen.")
 sql_query("z51_cut_replies", "select snapshot_id, nullif(regexp_extract(cut, '\"title\": \"([^\"]*)\"', 1), '') as title, nullif(regexp_extract(cut, '\"status\": \"([^\"]*)\"', 1), '') as status, json_valid(cut) as whole from (select distinct snapshot_id, substr(payload_json, 1, cast(floor(length(payload_json) * 0.6) as int)) as cut from snapshots where payload_json is not null)", "Replies cut short, read by pattern.")
+sql_query("w05_running_totals", f"select label, n, sum(n) over (order by low rows between unbounded preceding and current row)::bigint as cumulative, sum(n) over (order by low rows between unbounded preceding and current row) >= (sum(n) over ()) / 2.0 as at_median from {_LOWHIGH}", "Running totals of buckets, and from where the median lies in them.")
+sql_query("q02_malformed_types", "select event_type, count(*) as n from extracted_event_details where event_type like 'CyberEventType.%' or length(event_type) < 3 group by 1", "Types that are qualified or cut off.")
+sql_query("q03_severity_domain", "select severity, count(*) as n from extracted_event_details where severity is not null and severity not in ('Critical', 'High', 'Medium', 'Low', 'Unknown') group by 1", "Severities outside the known set.")
+sql_query("q07_category_domain", "select coalesce(severity_category, 'none') as severity_category, count(*) as n, severity_category in ('C1', 'C2', 'C3', 'C4', 'C5', 'C6') as known from asd_risk_classifications_20251118_154100 where severity_category is not null group by 1, 3", "Classes, and whether they are of the known six.")
+sql_query("q08_size_bands", "select entity_id, size_estimate, band from (select entity_id, size_estimate, case when coalesce(size_employees, employee_count) < 20 then 'SMALL' when coalesce(size_employees, employee_count) < 200 then 'MEDIUM' when coalesce(size_employees, employee_count) < 5000 then 'LARGE' when coalesce(size_employees, employee_count) is not null then 'HUGE' end as band from entities) where size_estimate is not null and size_estimate <> 'UNKNOWN' and (size_estimate not in ('SMALL', 'MEDIUM', 'LARGE', 'HUGE') or band <> size_estimate)", "Size bands outside their domain or against the headcount; unknown ones are exempt.")
+sql_query("q12_status_domain", "select coalesce(status, 'none') as status, count(*) as n, coalesce(status in ('Active', 'Merged', 'Rejected'), false) as known from extracted_event_details group by 1, 3", "States, and whether they are known.")

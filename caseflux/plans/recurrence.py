@@ -95,3 +95,5 @@ _GRID = "(values (30), (90), (180), (365), (730)) g(day)"
 sql_query("t15_hazard_curves", f"select g.day, round(f.e / f.x, 9)::double as exponential, round(0.00155555556::double * power(g.day / 900.0::double, 0.4::double), 9)::double as weibull, round(0.002::double * power(g.day / 800.0::double, 0.6::double) / (1 + power(g.day / 800.0::double, 1.6::double)), 9)::double as log_logistic from {_GRID}, (select sum(event)::double as e, sum(duration_days)::double as x from {_STOPPED}) f", "Hazards on a grid: the fitted exponential, and two families at given parameters.")
 _STOPPED_RATES = RATES.replace('"end"', "stop_day")
 sql_query("z80_model_rows", f"select family, round(ll, 4)::double as log_likelihood, k::int as parameters, round(2 * k - 2 * ll, 4)::double as aic, round(k * ln(n) - 2 * ll, 4)::double as bic from (select 'exponential' as family, 1 as k, e * ln(e / x) - e as ll, n from (select sum(event)::double as e, sum(duration_days)::double as x, count(*) as n from {_STOPPED}) union all select 'two bands', 2, a.e * ln(a.e / a.x) + b.e * ln(b.e / b.x) - a.e - b.e, c.n from (select sum(events)::double as e, sum(exposure_days) as x from {_STOPPED_RATES} where band < 2) a, (select sum(events)::double as e, sum(exposure_days) as x from {_STOPPED_RATES} where band >= 2) b, (select count(*) as n from {_STOPPED}) c)", "Rows of a model comparison.")
+_DAYS = f"(select duration_days as t, sum(event)::double as e, count(*)::double as n from {_STOPPED} group by 1)"
+sql_query("w06_running_hazard", f"select t::int as time_days, at_risk, round(exp(sum(case when e < at_risk then ln(1 - e / at_risk) else 0 end) over (order by t rows between unbounded preceding and current row)), 9) as survival, round(sum(e / at_risk) over (order by t rows between unbounded preceding and current row), 9) as hazard from (select t, e, sum(n) over (order by t desc rows between unbounded preceding and current row) as at_risk from {_DAYS}) where e > 0 and e < at_risk", "Running product of survival and sum of hazards over those at risk.")
