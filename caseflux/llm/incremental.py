@@ -29,6 +29,7 @@ def repeats_of_new_batches(
     rows delivered twice count once, batches opened at the same moment are not
     earlier than each other, articles without a summary repeat by id only.
     """
+    articles = articles.select("enriched_event_id", "summary")
     opened = batches.select("batch_id", "opened_at", "state").where("batch_id is not null and opened_at is not null").dropDuplicates(["batch_id"])
     opened = broadcast_if_small(opened, opened.count(), 120)
     stood = decisions.select("batch_id", F.col("enriched_event_id").alias("id")).where("id is not null").join(opened, "batch_id")

@@ -136,7 +136,7 @@ def test_new_batches_against_history(spark, work):
     got = incremental.repeats_of_new_batches(
         spark.createDataFrame([(*s, "x") for s in stands], "batch_id string, enriched_event_id string, h string"),
         spark.createDataFrame(batches, "batch_id string, opened_at timestamp, state string"),
-        spark.createDataFrame([*rows, rows[0]], "enriched_event_id string, summary string"),
+        spark.createDataFrame([(*r, "clash") for r in (*rows, rows[0])], "enriched_event_id string, summary string, id string"),
         work,
     )
     assert {tuple(r) for r in got.collect()} == want
