@@ -2,7 +2,9 @@ import datetime as dt
 import json
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from caseflux.llm import encoding, fusion, leakage, names, packing, quality
 from caseflux.sources.tables import table
@@ -131,6 +133,24 @@ def test_belief_beats_weight_where_weights_mislead(spark, work):
     assert by_weight < 0.5 and by_belief > 0.9
 
 
+def test_survivors_shuffle_the_claims_once_and_take_any_number_of_sources(spark, work, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(f"g{g}", f, str(rng.integers(0, 3)), f"m{m}", f"s{rng.integers(0, 5)}", 0.5, None) for g in range(40) for f in ("a", "b") for m in range(4)]
+    rows.append(("alone", "a", "x", "m0", None, 0.5, None))
+    df = spark.createDataFrame(rows, "group string, field string, value string, member string, source string, weight double, updated_at timestamp")
+    # rows that lie by group are not moved again, whatever is counted of them
+    plan = fusion._topics(df.repartition("group").distinct(), ["group", "field"], F.lit(0))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+    def found(by):
+        return {(r["group"], r["field"]): (r["member"], r["value"], round(r["belief"], 6), tuple(r["kept"])) for r in fusion.survivors(df, work, by_belief=by).collect()}
+
+    mapped = [found(by) for by in (False, True)]
+    assert len(mapped[0]) == 81 and mapped[0]["alone", "a"][1] == "x"
+    monkeypatch.setattr(fusion, "MAPPED", 1)
+    assert [found(by) for by in (False, True)] == mapped
+
+
 def test_found_survivors_against_plain_python(spark):
     """The rule of the problem, restated row by row over a whole small folder."""
     from caseflux.llm.queries import p4_found
