@@ -179,6 +179,16 @@ def test_greedy_stars_against_a_plain_walk(spark, work):
     assert greedy_stars(nodes.where("false"), spark.createDataFrame([], "a long, b long"), work, "n", "a", "b").count() == 0
 
 
+def test_components_of_a_chain_that_labels_cross_node_by_node(spark, work):
+    from caseflux.operators.components import connected_components
+
+    # 000 - 150 - 149 - ... - 001: all labels point to 001, away from 000
+    way = ["000", *(f"{k:03d}" for k in range(150, 0, -1))]
+    edges = spark.createDataFrame(list(zip(way, way[1:])), "a string, b string")
+    got = connected_components(edges, work, "a", "b").collect()
+    assert len(got) == 151 and {r["label"] for r in got} == {"000"}
+
+
 def test_connected_components_of_names(spark, work):
     from caseflux.operators.components import connected_components
 
