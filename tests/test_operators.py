@@ -189,6 +189,13 @@ def test_components_of_a_chain_that_labels_cross_node_by_node(spark, work):
     assert len(got) == 151 and {r["label"] for r in got} == {"000"}
 
 
+def test_incremental_matches_part_words_once_a_record(spark):
+    from caseflux.plans import catalog
+
+    plan = catalog.QUERIES["d41_incremental_matches"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan and "part" in plan
+
+
 def test_connected_components_of_names(spark, work):
     from caseflux.operators.components import connected_components
 
