@@ -47,3 +47,14 @@ def test_query_gives_the_oracles_rows(spark, duck, name):
 def test_query_without_oracle_runs(spark, name):
     rows = catalog.QUERIES[name](spark, FOLDER)
     assert rows.columns and rows.count() >= 0
+
+
+@pytest.mark.parametrize("name", ["j14_candidate_pairs", "j15_fuzzy_pairs"])
+def test_pairs_of_blocks_that_are_cut_into_parts(spark, duck, monkeypatch, name):
+    from caseflux.plans import dedupe
+
+    monkeypatch.setattr(dedupe, "BLOCK_ROWS", 3)
+    mine = catalog.QUERIES[name](spark, FOLDER)
+    # no distinct over the pairs on their way out
+    assert not mine._jdf.queryExecution().optimizedPlan().toString().startswith("Aggregate")
+    assert rows_of(mine.toPandas()) == rows_of(duck.execute(catalog.ORACLES[name]).df())
