@@ -3,24 +3,22 @@
 Plan
 ----
 1. ``describe``: one pass over the texts gives the set hash, the number of
-   words and a 256-bit parity fingerprint; exact copies (equal word sets) fall
-   into one class.
-2. Shards: each class enters the shard of every one of its ``prefix`` rarest
-   words that some other text has too, so shards overlap at their boundaries;
-   words of more than ``word_rows`` rows are refined to a shard for every two
-   of them.  Words are ranked by exact document frequency.
-3. In each shard a vantage-point tree over the fingerprints answers the range
-   queries of its members.  The radius follows from the Jaccard limit, so no
-   pair of the shard is lost; the triangle inequality leaves out branches.
-   Shards above ``shard_rows`` are cut into rings around one vantage point;
-   only cells whose rings the triangle inequality cannot part meet.
+   words, a 256-bit parity fingerprint and the prefix of the set: its first
+   n - ceil(t n) + 1 words in one order of all words, frequent ones last.  Exact
+   copies (equal word sets) fall into one class.
+2. Shards: each class enters the shard of every word of its prefix.  Two sets at
+   Jaccard ``t`` have the first word they share in both prefixes, whatever the
+   order, so they meet (prefix filter); the order, from a sample, decides the
+   cost alone.  A shard above ``shard_rows`` is cut into parts, of which any two meet.
+3. In each shard vantage-point trees over the fingerprints of one stretch of
+   lengths answer the range queries.  The radius follows from the Jaccard limit
+   and the triangle inequality leaves out branches, so no pair is lost; members
+   whose place in the prefix and length rule each other out need not meet.
 4. Pairs within the Hamming bound are verified on the exact word sets.
 
-A tree over all fingerprints at once would prune nothing: unrelated texts lie
-112 +- 8 bits apart and the radius of Jaccard 0.6 is about 38, hence step 2.
-Two texts can be missed only if, of their ``prefix`` rarest shared words, they
-have no rarer one and fewer than two others in common (see README for measured
-recall).
+No bound loses a pair.  The price: unrelated texts are about equally far apart,
+trees leave out little, and the rows of a word are compared with each other, a
+cost that grows with their square where the vocabulary stays the same.
 """
 
 from __future__ import annotations
@@ -33,207 +31,134 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseflux.llm import vptree as vp
+from caseflux.llm import wordlookup as wl
 from caseflux.llm import wordsets as ws
 from caseflux.session import Workspace, broadcast_if_small
 
 THRESHOLD = 0.6
-PREFIX = 7
-#: Rows of a word up to which it makes a shard by itself; a more frequent one makes shards with each other such word.
-WORD_ROWS = 1024
-SHARD_ROWS = 4096
+#: Rows of a word up to which they make one shard; those of a more frequent word are cut into parts.
+SHARD_ROWS = 32_768
+#: Postings that a task searches, where shards are not larger.
+TASK_ROWS = 300_000
 #: Copies of one class that meet in one task when all pairs of ids are asked for.
 COPY_ROWS = 2048
-RING = 8
-COMMON_SHARE, COMMON_LEAST = 0.01, 100
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        flat, counts = ws.flat_hashes(b.column(0).to_pylist())
-        if not len(flat):
-            continue
-        h = np.repeat(ws.set_hashes(flat, counts), counts)
-        order = np.argsort(flat, kind="stable")
-        w, starts, n = np.unique(flat[order], return_index=True, return_counts=True)
-        low, high = np.minimum.reduceat(h[order], starts), np.maximum.reduceat(h[order], starts)
-        yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n), pa.array(low), pa.array(high)], ["w", "df", "low", "high"])
-
-
-def word_counts(texts: DataFrame, text: str) -> DataFrame:
-    """(w, df): rows of ``texts`` with each word (its hash), for words of two or more word sets.
-
-    A word of one set alone, however often that set is repeated, ties nothing.
-    """
-    part = texts.select(text).mapInArrow(_count_words, "w long, df long, low long, high long")
-    counts = part.groupBy("w").agg(F.sum("df").alias("df"), F.min("low").alias("low"), F.max("high").alias("high"))
-    return counts.where("low <> high").select("w", "df")
-
-
-def _describer(common: np.ndarray, common_df: np.ndarray, prefix: int):
+def _describer(order: tuple[np.ndarray, np.ndarray], t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(common)
-        keys, dfs = common[order], common_df[order]
-        for b in ws.slices(batches):
+        seen: set[int] = set()
+        for b in ws.slices(batches, 256):
             flat, counts = ws.flat_hashes(b.column(1).to_pylist())
             h = ws.set_hashes(flat, counts)
-            fp = ws.fingerprints(flat, counts)
-            doc = np.repeat(np.arange(len(counts)), counts)
             first = np.zeros(len(counts), bool)
-            first[np.unique(h, return_index=True)[1]] = True
-            first &= counts > 0
-            f = flat.view(np.int64)
-            at = np.searchsorted(keys, f).clip(0, max(0, len(keys) - 1))
-            is_common = (keys[at] == f) if len(keys) else np.zeros(len(f), bool)
-            wanted = first[doc]
-            rare = ~is_common & wanted
-            rare_n = np.bincount(doc[rare], minlength=len(counts))
-            # the prefix rarest of the common words, in case rarer ones do not fill the prefix
-            c = np.flatnonzero(is_common & wanted)
-            cd = dfs[at[c]] if len(c) else np.zeros(0, np.int64)
-            c = c[np.lexsort((f[c], cd, doc[c]))]
-            n_c = np.bincount(doc[c], minlength=len(counts))
-            rank = np.arange(len(c)) - np.repeat(np.cumsum(n_c) - n_c, n_c)
-            c = c[rank < prefix]
-            com_n = np.bincount(doc[c], minlength=len(counts))
-            com_df = dfs[at[c]] if len(c) else np.zeros(0, np.int64)
+            for i, x in enumerate(h.tolist()):
+                if counts[i] and x not in seen:
+                    seen.add(x)
+                    first[i] = True
+            words, kept = wl.prefixes(flat[np.repeat(first, counts)], np.where(first, counts, 0), order, t)
             yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0),
-                    pa.array(h),
-                    pa.array(counts.astype(np.int32)),
-                    ws.fp_array(fp),
-                    ws.list_array(f[rare], rare_n),
-                    ws.list_array(f[c], com_n),
-                    ws.list_array(com_df, com_n),
-                ],
-                ["id", "h", "n", "fp", "rare", "common", "common_df"],
+                [b.column(0), pa.array(h), pa.array(counts.astype(np.int32)), ws.fp_array(ws.fingerprints(flat, counts)), ws.list_array(words, kept)],
+                ["id", "h", "n", "fp", "prefix"],
             )
 
     return run
 
 
-def describe(texts: DataFrame, id_col: str, text: str, work: Workspace, prefix: int = PREFIX) -> tuple[DataFrame, DataFrame]:
-    """(described rows, word counts), both durable.
+def describe(texts: DataFrame, id_col: str, text: str, work: Workspace, t: float = THRESHOLD) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(described rows, durable; ranked words).
 
-    ``rare`` and ``common`` are filled for the first row of each word set in a
-    batch only; copies carry the set hash alone.
+    ``prefix`` is filled for the first row of each word set in a task only;
+    copies carry the set hash alone.
     """
     texts = texts.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text")).where("id is not null")
-    counts = work.save(word_counts(texts, "text"), "word_counts")
-    rows = texts.count()
-    # words of more than 1 % of the rows: at most 100 x (mean words a row) of them
-    often = counts.where(F.col("df") > max(COMMON_LEAST, int(COMMON_SHARE * rows))).toPandas()
-    common = often["w"].to_numpy(np.int64) if len(often) else np.zeros(0, np.int64)
-    common_df = often["df"].to_numpy(np.int64) if len(often) else np.zeros(0, np.int64)
-    schema = "id string, h long, n int, fp binary, rare array<long>, common array<long>, common_df array<long>"
-    described = work.save(texts.mapInArrow(_describer(common, common_df, prefix), schema), "described")
-    return described, counts
-
-
-def rarest_words(described: DataFrame, counts: DataFrame, prefix: int = PREFIX) -> DataFrame:
-    """(h, p): the ``prefix`` rarest words of each class that another row has too."""
-    once = described.where("n > 0")
-    rare = once.select("h", F.explode("rare").alias("w")).join(counts, "w").select("h", "w", "df")
-    common = once.select("h", F.explode(F.arrays_zip("common", "common_df")).alias("x")).select("h", F.col("x.common").alias("w"), F.col("x.common_df").alias("df"))
-    return rare.unionByName(common).groupBy("h").agg(F.slice(F.array_sort(F.collect_set(F.struct("df", "w"))), 1, prefix).alias("p")).where(F.size("p") > 0)
+    ranked = wl.ranked_words(texts, "id", "text")
+    described = work.save(texts.mapInArrow(_describer(ranked[:2], t), "id string, h long, n int, fp binary, prefix array<long>"), "described")
+    return described, ranked
 
 
-def signatures(top: DataFrame, word_rows: int = WORD_ROWS) -> DataFrame:
-    """(sig, h, least): the shards of each class, by one rare word or by two frequent ones.
+def longest_partner(n: np.ndarray, place: np.ndarray, t: float) -> np.ndarray:
+    """Most words of a set whose first word in common with one of ``n`` words stands at ``place`` there.
 
-    ``least`` is the document frequency of the rarer word, a bound on the shard.
+    From that place on the two share t / (1 + t) of the words of both, or more.
     """
-    rows = top.withColumn("q", F.filter("p", lambda x: x["df"] > word_rows)).withColumn("p", F.filter("p", lambda x: x["df"] <= word_rows))
-    single = F.transform("p", lambda x: F.struct(F.xxhash64(x["w"]).alias("sig"), x["df"].alias("least")))
-    pairs = F.expr("if(size(q) > 1, flatten(transform(sequence(1, size(q) - 1), i -> transform(slice(q, i + 1, size(q) - i), y -> struct(xxhash64(q[i - 1].w, y.w) as sig, q[i - 1].df as least)))), array())")
-    return rows.select("h", F.explode(F.concat(single, pairs)).alias("s")).select("s.sig", "h", "s.least")
+    return np.floor((n - place) * (1 + t) / t - n + 1e-6).astype(np.int64)
 
 
-def _search_shards(t: float):
+def _postings(hot: tuple[np.ndarray, np.ndarray], t: float):
+    keys, parts_of = hot
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lists = b.column(0)
+        for b in ws.slices(batches, 4096):
+            lists = b.column(3)
             counts = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten()
-            h = flat.field("h").to_numpy(zero_copy_only=False)
-            n = flat.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
-            side = flat.field("side").to_numpy(zero_copy_only=False)
-            fp = ws.fp_words(flat.field("fp"))
-            starts = np.cumsum(counts) - counts
-            split = np.array([bool(len(s)) and s.max() != s.min() for s in np.split(side, starts[1:])]) if len(counts) else np.zeros(0, bool)
-            small = (counts <= vp.LEAF) & ~split
-            found = list(vp.small_shard_pairs(fp, n, starts[small], counts[small], t))
-            for k in np.flatnonzero(~small):
-                at = slice(starts[k], starts[k] + counts[k])
-                i, j = vp.range_pairs(fp[at], n[at], t, side[at] if split[k] else None)
-                found.append((i + starts[k], j + starts[k]))
-            if not found:
-                continue
-            i, j = (h[np.concatenate(x)] for x in zip(*found))
-            lo, hi = np.minimum(i, j), np.maximum(i, j)
-            two = np.unique(np.stack([lo, hi], 1)[lo != hi], axis=0)
-            if len(two):
-                yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
+            w = lists.flatten().to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(len(counts)), counts)
+            place = np.arange(len(w)) - np.repeat(np.cumsum(counts) - counts, counts)
+            h, n, fp = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False).astype(np.int64), ws.fp_words(b.column(2))
+            most = longest_partner(n[doc], place, t)
+            # the shards of a frequent word: its rows by hash in parts, a shard for any two of them
+            parts = np.ones(len(w), np.int64)
+            if len(keys):
+                at = np.searchsorted(keys, w).clip(0, len(keys) - 1)
+                parts = np.where(keys[at] == w, parts_of[at], 1)
+            part = (ws.mix(h.view(np.uint64))[doc] % parts.astype(np.uint64)).astype(np.int64)
+            other = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+            w, doc, most, part, parts = (np.repeat(x, parts) for x in (w, doc, most, part, parts))
+            low, high = np.minimum(part, other), np.maximum(part, other)
+            with np.errstate(over="ignore"):
+                cell = ws.mix(w.view(np.uint64) + ws.mix((low * parts + high).astype(np.uint64) + np.uint64(1))).view(np.int64)
+            side = np.where(low == high, 0, np.where(part == low, 1, 2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.where(parts > 1, cell, w)), pa.array(h[doc]), *(pa.array(x.astype(np.int32)) for x in (n[doc], most, side)), *(pa.array(fp[:, k].view(np.int64)[doc]) for k in range(4))],
+                ["shard", "h", "n", "most", "side", "f0", "f1", "f2", "f3"],
+            )
 
     return run
 
 
-def _shards(rows: DataFrame, t: float) -> DataFrame:
-    """(a, b) found in the shards of (shard, h, n, fp, side)."""
-    members = rows.groupBy("shard").agg(F.collect_list(F.struct("h", "n", "fp", "side")).alias("m"))
-    return members.select("m").mapInArrow(_search_shards(t), "a long, b long")
+def _search_shards(t: float):
+    def pairs(h: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+        lo, hi = np.minimum(h[i], h[j]), np.maximum(h[i], h[j])
+        two = np.unique(np.stack([lo, hi], 1)[lo != hi], axis=0)
+        if len(two):
+            yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a task holds about TASK_ROWS postings, and no shard above twice SHARD_ROWS but for the error of the estimate
+        read = [b for b in batches if b.num_rows]
+        if not read:
+            return
+        shard, h, n, most, side, *f = (np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in read]) for k in range(9))
+        del read
+        by = np.lexsort((h, shard))
+        # copies of a class that several tasks described stand once
+        by = by[np.concatenate([[True], (np.diff(shard[by]) != 0) | (np.diff(h[by]) != 0)])]
+        shard, h, side = shard[by], h[by], side[by]
+        n, most = n[by].astype(np.int64), most[by].astype(np.int64)
+        fp = np.stack([x[by].view(np.uint64) for x in f], 1)
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(shard) != 0]))
+        counts = np.diff(np.append(starts, len(shard)))
+        small = (counts <= vp.LEAF) & (side[starts] == 0)
+        for i, j in vp.small_shard_pairs(fp, n, starts[small], counts[small], t):
+            yield from pairs(h, i, j)
+        for s, c in zip(starts[~small].tolist(), counts[~small].tolist()):
+            at = slice(s, s + c)
+            i, j = vp.range_pairs(fp[at], n[at], most[at], t, side[at] if side[s] else None)
+            yield from pairs(h[at], i, j)
 
-def _hot_cells(hot: DataFrame, t: float, shard_rows: int) -> DataFrame:
-    """Shards above the bound as pairs of cells: (cell key, h, n, fp, side).
+    return run
 
-    Cells are rings of RING bits around the shard's first vantage point, cut by
-    hash until each holds about ``shard_rows``; two cells meet unless the
-    triangle inequality keeps all their members apart.
-    """
-    ratio = vp.limit_ratio(t)
-    point = hot.groupBy("sig").agg(F.min_by("fp", "h").alias("vp"), F.max("n").alias("most"))
-    part = "cast(conv(hex(substring({}, i * 8 + 1, 8)), 16, -10) as bigint)"
-    bits = F.expr(f"aggregate(sequence(0, 3), 0, (s, i) -> s + bit_count({part.format('fp')} ^ {part.format('vp')}))")
-    ringed = hot.join(point, "sig").withColumn("ring", F.floor(bits / RING).cast("int")).drop("vp")
-    sizes = ringed.groupBy("sig", "ring").agg(F.count("*").alias("c")).withColumn("parts", F.ceil(F.col("c") / shard_rows).cast("int"))
-    placed = ringed.join(sizes.drop("c"), ["sig", "ring"]).withColumn("part", F.pmod(F.xxhash64("h"), F.col("parts")).cast("int"))
-    cells = sizes.select("sig", F.col("ring").alias("r2"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p2"))
-    reach = F.ceil(F.lit(ratio) * 2 * F.col("most"))
-    met = placed.join(cells, "sig").where((F.abs(F.col("ring") - F.col("r2")) - 1) * RING <= reach)
-    own, other = F.struct(F.col("ring").alias("r"), F.col("part").alias("p")), F.struct(F.col("r2").alias("r"), F.col("p2").alias("p"))
-    key = F.struct("sig", F.least(own, other).alias("x"), F.greatest(own, other).alias("y"))
-    return met.select(F.xxhash64(key).alias("shard"), "h", "n", "fp", F.when(own <= other, 0).otherwise(1).alias("side"))
-
-
-def candidate_pairs(described: DataFrame, counts: DataFrame, work: Workspace, t: float = THRESHOLD, prefix: int = PREFIX, shard_rows: int = SHARD_ROWS) -> DataFrame:
+
+def candidate_pairs(described: DataFrame, ranked: tuple[np.ndarray, np.ndarray, np.ndarray], t: float = THRESHOLD, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(a, b): set hashes within the Hamming bound in some shard, once each."""
-    top = work.save(rarest_words(described, counts, prefix), "rarest_words")
-    sigs = signatures(top, min(WORD_ROWS, shard_rows))
-    points = described.where("n > 0").groupBy("h").agg(F.first("n").alias("n"), F.first("fp").alias("fp"))
-    # least bounds the rows of a shard, so these lists are bounded; shards of the same members count once
-    cold = (
-        sigs.where(F.col("least") <= shard_rows)
-        .groupBy("sig")
-        .agg(F.sort_array(F.collect_set("h")).alias("hs"))
-        .where(F.size("hs") > 1)
-        .select("hs")
-        .distinct()
-        .select(F.xxhash64("hs").alias("shard"), F.explode("hs").alias("h"))
-        .join(points, "h")
-        .select("shard", "h", "n", "fp", F.lit(0).alias("side"))
-    )
-    found = _shards(cold, t)
-    hot = sigs.where(F.col("least") > shard_rows)
-    # p is in order of df: some signature is hot if the last but one word is
-    if not top.where(F.try_element_at("p", F.lit(-2))["df"] > shard_rows).isEmpty():
-        hot = work.save(hot, "hot_signatures")
-        sizes = hot.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1")
-        rows = hot.join(sizes, "sig").join(points, "h")
-        whole = rows.where(F.col("c") <= shard_rows).select(F.col("sig").alias("shard"), "h", "n", "fp", F.lit(0).alias("side"))
-        cut = _hot_cells(rows.where(F.col("c") > shard_rows).select("sig", "h", "n", "fp"), t, shard_rows)
-        found = found.unionByName(_shards(whole.unionByName(cut), t))
-    return found.distinct()
+    points = described.where("size(prefix) > 0")
+    words, _, rows = ranked
+    often = rows > shard_rows
+    hot = words[often], -(-rows[often] // shard_rows)
+    postings = points.select("h", "n", "fp", "prefix").mapInArrow(_postings(hot, t), "shard long, h long, n int, most int, side int, f0 long, f1 long, f2 long, f3 long")
+    total = points.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    tasks = max(int(described.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_ROWS))
+    return postings.repartition(tasks, "shard").mapInArrow(_search_shards(t), "a long, b long").distinct()
 
 
 def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +186,7 @@ def verify(pairs: DataFrame, described: DataFrame, texts: DataFrame, id_col: str
     return joined.select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= t)
 
 
-def near_duplicate_classes(texts: DataFrame, id_col: str, text: str, work: Workspace, t: float = THRESHOLD, prefix: int = PREFIX, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, DataFrame]:
+def near_duplicate_classes(texts: DataFrame, id_col: str, text: str, work: Workspace, t: float = THRESHOLD, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, DataFrame]:
     """(membership, links) of the texts.
 
     membership: (id, h), one row for each id and word set, ``h`` its class.
@@ -270,16 +195,16 @@ def near_duplicate_classes(texts: DataFrame, id_col: str, text: str, work: Works
     Null, empty and wordless texts belong to no class; null ids are left out;
     repeated rows count once; ties do not matter, all links are given.
     """
-    described, counts = describe(texts, id_col, text, work, prefix)
-    pairs = candidate_pairs(described, counts, work, t, prefix, shard_rows)
+    described, ranked = describe(texts, id_col, text, work, t)
+    pairs = candidate_pairs(described, ranked, t, shard_rows)
     links = work.save(verify(pairs, described, texts, id_col, text, work, t), "links")
     members = described.where("n > 0").select("id", "h").distinct()
     return members, links
 
 
-def near_duplicate_pairs(texts: DataFrame, id_col: str, text: str, work: Workspace, t: float = THRESHOLD, prefix: int = PREFIX, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def near_duplicate_pairs(texts: DataFrame, id_col: str, text: str, work: Workspace, t: float = THRESHOLD, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(left_id, right_id), left_id < right_id as text: all near-duplicate ids."""
-    members, links = near_duplicate_classes(texts, id_col, text, work, t, prefix, shard_rows)
+    members, links = near_duplicate_classes(texts, id_col, text, work, t, shard_rows)
     members = work.save(members, "members")
     m1, m2 = members.select(F.col("id").alias("i"), F.col("h").alias("a")), members.select(F.col("id").alias("j"), F.col("h").alias("b"))
     across = links.select("a", "b").join(m1, "a").join(m2, "b").select("i", "j")

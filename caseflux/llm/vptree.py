@@ -1,8 +1,9 @@
 """Vantage-point trees over parity fingerprints in Hamming space.
 
-``range_pairs`` answers every member's range query at once: whole sets of
-queries descend the tree together, a branch is left out for a query when the
-triangle inequality puts it beyond the query's radius.
+``range_pairs`` answers the range queries of a shard: its members are put in
+order of length and each stretch of lengths gets a tree; whole sets of queries
+descend it together, a branch is left out for a query when the triangle
+inequality puts it beyond the query's radius, leaves are compared in full.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 import numpy as np
 
 LEAF = 32
+#: Members of a leaf and of a tree in shards above LEAF; fingerprints compared at once.
+WIDE_LEAF, STRETCH, AT_ONCE = 256, 2048, 1 << 16
 #: Bits by which the distances to a vantage point must part for the cut to follow the gap.
 GAP = 12
 
@@ -65,20 +68,33 @@ class VPTree:
 
     def query(self, q: np.ndarray, radius: np.ndarray):
         """Yields (query index, member index, distance) arrays within the radii."""
+        cols = np.ascontiguousarray(q.T)
         stack = [(self.root, np.arange(len(q)))]
         while stack:
             at, qs = stack.pop()
             node = self.nodes[at]
             if node[0] == "leaf":
                 ids = node[1]
-                step = max(1, 400_000 // max(1, len(ids)))
+                own = np.ascontiguousarray(self.fp[ids].T)
+                step = max(1, AT_ONCE // max(1, len(ids)))
+                apart = np.empty((min(step, len(qs)), len(ids)), np.uint64)
+                bits, more = np.empty(apart.shape, np.uint8), np.empty(apart.shape, np.uint8)
                 for s in range(0, len(qs), step):
                     part = qs[s : s + step]
-                    d = hamming(q[part][:, None, :], self.fp[ids][None, :, :])
+                    x, d, c = apart[: len(part)], bits[: len(part)], more[: len(part)]
+                    for k in range(3):  # three words first: they hold no more than 192 bits and sort out most
+                        np.bitwise_xor(cols[k][part][:, None], own[k][None, :], out=x)
+                        np.bitwise_count(x, out=c if k else d)
+                        if k:
+                            d += c
                     self.compared += d.size
-                    i, j = np.nonzero(d <= radius[part][:, None])
-                    if len(i):
-                        yield part[i], ids[j], d[i, j]
+                    near = np.flatnonzero(d <= np.minimum(radius[part], 255).astype(np.uint8)[:, None])
+                    if len(near):
+                        i, j = near // len(ids), near % len(ids)
+                        far = d.ravel()[near].astype(np.int32) + np.bitwise_count(cols[3][part[i]] ^ own[3][j])
+                        ok = far <= radius[part[i]]
+                        if ok.any():
+                            yield part[i[ok]], ids[j[ok]], far[ok]
                 continue
             _, vp, mu, low, least, a, b, high = node
             d = hamming(q[qs], self.fp[vp])
@@ -97,35 +113,51 @@ class VPTree:
 
 
 def _keep(i, j, d, size, ratio):
-    ok = d <= ratio * (size[i] + size[j])
+    ok = d <= ratio * (size[i] + size[j]) + 1e-9
     return i[ok], j[ok]
 
 
-def range_pairs(fp: np.ndarray, size: np.ndarray, t: float, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i < j whose fingerprints are as near as Jaccard >= t demands.
+def range_pairs(fp: np.ndarray, size: np.ndarray, most: np.ndarray, t: float, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs whose fingerprints are as near as Jaccard >= t demands.
 
-    ``side``: if given, only pairs of one member of side 0 and one of side 1.
+    ``most``: the longest partner a member can have in this shard; only pairs
+    within each other's bound are asked for, others may be given as well.
+    ``side``: if given, only pairs of one member of side 1 and one of side 2.
+    """
+    if side is not None:
+        outs = [_stretches(fp, size, most, t, np.flatnonzero(side == a), np.flatnonzero(side == b)) for a, b in ((1, 2), (2, 1))]
+    else:
+        every = np.arange(len(fp))
+        outs = [_stretches(fp, size, most, t, every, every)]
+    return tuple(np.concatenate([np.zeros(0, np.int64), *(x for o in outs for x in o[k::2])]) for k in (0, 1))
+
+
+def _stretches(fp, size, most, t, asking, members) -> list[np.ndarray]:
+    """Asking and member indices, in turn, of the pairs in which the member takes partners of its own length.
+
+    Of two within each other's bound one at least does; where both do, the shorter asks.
     """
     ratio = limit_ratio(t)
-    if side is None and len(fp) <= LEAF:
-        i, j = np.triu_indices(len(fp), 1)
-        return _keep(i, j, hamming(fp[i], fp[j]), size, ratio)
-    members = np.arange(len(fp)) if side is None else np.flatnonzero(side == 1)
-    asking = members if side is None else np.flatnonzero(side == 0)
-    if not len(members) or not len(asking):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    tree = VPTree(fp[members])
-    radius = np.floor(ratio * size[asking] * (1 + 1 / t) + 1e-9).astype(np.int32)
-    outs = []
-    for qi, mi, d in tree.query(fp[asking], radius):
-        i, j = asking[qi], members[mi]
-        if side is None:
-            keep = i < j
-            i, j, d = i[keep], j[keep], d[keep]
-        outs.append(_keep(i, j, d, size, ratio))
-    if not outs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([o[0] for o in outs]), np.concatenate([o[1] for o in outs])
+    asking = asking[np.lexsort((asking, size[asking]))]
+    members = members[most[members] >= size[members]]
+    members = members[np.lexsort((members, size[members]))]
+    peer = most[asking] >= size[asking]
+    outs: list[np.ndarray] = []
+    for at in range(0, len(members), STRETCH):
+        part = members[at : at + STRETCH]
+        low, high = size[part[0]], size[part[-1]]
+        wanted = (most[asking] >= low) & (size[asking] <= np.where(peer, high, most[part].max()))
+        q = asking[wanted]
+        if not len(q):
+            continue
+        tree = VPTree(fp[part], WIDE_LEAF)
+        radius = np.floor(ratio * (size[q] + high) + 1e-9).astype(np.int32)
+        for qi, mi, d in tree.query(fp[q], radius):
+            i, j = q[qi], part[mi]
+            # two peers meet once: the shorter asks, of equals the first
+            once = (most[i] < size[i]) | (size[i] < size[j]) | ((size[i] == size[j]) & (i < j))
+            outs += _keep(i[once], j[once], d[once], size, ratio)
+    return outs
 
 
 def small_shard_pairs(fp: np.ndarray, size: np.ndarray, starts: np.ndarray, counts: np.ndarray, t: float):

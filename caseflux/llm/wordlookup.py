@@ -19,7 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflux.llm import neardup as nd
 from caseflux.llm import vptree as vp
 from caseflux.llm import wordsets as ws
 from caseflux.session import Workspace
@@ -36,13 +35,41 @@ PASS_SETS = 80_000
 MATCHES = 1 << 17
 
 
-def word_order(texts: DataFrame, id_col: str, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes, sorted; their ranks from 1), frequent words last."""
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        flat, counts = ws.flat_hashes(b.column(0).to_pylist())
+        if not len(flat):
+            continue
+        h = np.repeat(ws.set_hashes(flat, counts), counts)
+        order = np.argsort(flat, kind="stable")
+        w, starts, n = np.unique(flat[order], return_index=True, return_counts=True)
+        low, high = np.minimum.reduceat(h[order], starts), np.maximum.reduceat(h[order], starts)
+        yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n), pa.array(low), pa.array(high)], ["w", "df", "low", "high"])
+
+
+def word_counts(texts: DataFrame, text: str) -> DataFrame:
+    """(w, df): rows of ``texts`` with each word (its hash), for words of two or more word sets.
+
+    A word of one set alone, however often that set is repeated, ties nothing.
+    """
+    part = texts.select(text).mapInArrow(_count_words, "w long, df long, low long, high long")
+    counts = part.groupBy("w").agg(F.sum("df").alias("df"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return counts.where("low <> high").select("w", "df")
+
+
+def ranked_words(texts: DataFrame, id_col: str, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, sorted; their ranks from 1, frequent words last; their rows, estimated)."""
     part = texts.where(F.pmod(F.xxhash64(id_col), F.lit(SAMPLE)) == 0)
-    rows = nd.word_counts(part, text).orderBy(F.desc("df"), "w").limit(ORDERED_WORDS).toPandas()
+    rows = word_counts(part, text).orderBy(F.desc("df"), "w").limit(ORDERED_WORDS).toPandas()
     w = rows["w"].to_numpy(np.int64) if len(rows) else np.zeros(0, np.int64)
+    df = rows["df"].to_numpy(np.int64) if len(rows) else np.zeros(0, np.int64)
     by = np.argsort(w)
-    return w[by], (len(w) - np.arange(len(w)))[by]
+    return w[by], (len(w) - np.arange(len(w)))[by], df[by] * SAMPLE
+
+
+def word_order(texts: DataFrame, id_col: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(word hashes, sorted; their ranks from 1), frequent words last."""
+    return ranked_words(texts, id_col, text)[:2]
 
 
 def need(n, m, t: float):

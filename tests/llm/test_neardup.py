@@ -64,6 +64,38 @@ def test_hot_words_beside_a_rare_one_in_every_class(spark, work):
     assert pairs(neardup.near_duplicate_pairs(df, "id", "text", work, shard_rows=8)) == want
 
 
+def test_pairs_that_share_only_frequent_words_behind_many_rare_ones(spark, work):
+    # the nine edits of each text stand in one unrelated text each: shared, rarer than all that ties the pairs
+    rows = [(f"near-{k:02d}", " ".join([f"c{j}" for j in range(55)] + [f"edit{k}x{j}" for j in range(9)])) for k in range(30)]
+    rows += [(f"own-{k:02d}", " ".join([f"edit{k}x{j}" for j in range(9)] + [f"o{k}x{j}" for j in range(30)])) for k in range(30)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    want = brute(rows, 0.6)
+    assert len(want) == 30 * 29 // 2
+    assert pairs(neardup.near_duplicate_pairs(df, "id", "text", work)) == want
+    assert pairs(neardup.near_duplicate_pairs(df, "id", "text", type(work)(spark, "parts"), shard_rows=8)) == want
+
+
+def test_shards_lose_no_pair_within_the_bounds():
+    import numpy as np
+
+    from caseflux.llm import vptree as vp
+
+    rng = np.random.default_rng(5)
+    fp = rng.integers(0, 1 << 63, (40, 4)).astype(np.uint64)[rng.integers(0, 40, 900)]
+    for _ in range(12):
+        fp[np.arange(900), rng.integers(0, 4, 900)] ^= np.uint64(1) << rng.integers(0, 63, 900).astype(np.uint64)
+    size = rng.integers(20, 90, 900)
+    most = (size * rng.uniform(0.6, 1.7, 900)).astype(np.int64)
+    i, j = np.triu_indices(900, 1)
+    near = (vp.hamming(fp[i], fp[j]) <= 0.25 * (size[i] + size[j])) & (size[i] <= most[j]) & (size[j] <= most[i])
+    for side in (None, rng.integers(1, 3, 900)):
+        ok = near if side is None else near & (side[i] != side[j])
+        want = set(zip(i[ok].tolist(), j[ok].tolist()))
+        got = {tuple(sorted(p)) for p in zip(*(x.tolist() for x in vp.range_pairs(fp, size, most, 0.6, side)))}
+        assert len(want) > 500 and want <= got
+        assert all(vp.hamming(fp[a], fp[b]) <= 0.25 * (size[a] + size[b]) and (side is None or side[a] != side[b]) for a, b in got)
+
+
 def test_long_texts_and_exact_copies(spark, work):
     long = " ".join(f"w{k}" for k in range(20_000))
     rows = [("a", long), ("b", long + " one more"), ("c", long), ("d", "short text of few words"), ("e", "short text of few Words!")]
