@@ -13,6 +13,9 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
+from functools import reduce
+from itertools import repeat, zip_longest
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +45,22 @@ def word_list(text: str | None) -> list[str]:
     return ws.WORD.findall(text.lower()) if text else []
 
 
+def _shingles(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k words from each place on, given the words' hashes."""
+    out = np.zeros(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(k):
+            out = out * _P + h[at + j]
+    return (ws.mix(out) >> np.uint64(1)).view(np.int64)
+
+
 def shingle_hashes(words: list[str], k: int = SHINGLE) -> np.ndarray:
     """Hash of every window of k words, by position (a shorter text: its whole)."""
     if not words:
         return np.zeros(0, np.int64)
     h = np.array([ws.word_hash(w) for w in words], np.uint64)
     k = min(k, len(h))
-    out = np.zeros(len(h) - k + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        for j in range(k):
-            out = out * _P + h[j : j + len(out)]
-    return (ws.mix(out) >> np.uint64(1)).view(np.int64)
+    return _shingles(h, np.arange(len(h) - k + 1), k)
 
 
 class ItemSet:
@@ -87,24 +95,57 @@ class ItemSet:
 
 
 def _hits(items: ItemSet):
-    keys = items.keys
+    keys, k = items.keys, items.k
+    # a word that no item has stands in no shingle of one
+    known = {w: ws.word_hash(w) for words in items.words for w in words}
+    # a table by the last bits of the hash sorts out most shingles before the search
+    low = np.int64((1 << max(16, int(32 * len(keys)).bit_length())) - 1)
+    maybe = np.zeros(int(low) + 1, bool)
+    maybe[keys & low] = True
+
+    def places(words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places, in the words of all texts one after the other, at which item shingles begin; their numbers."""
+        h = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        ends = np.cumsum(counts)
+        whole = h >= 0
+        begins = whole[: max(0, len(h) - k + 1)].copy()
+        for j in range(1, k):
+            begins &= whole[j : j + len(begins)]
+        # nor does one begin so late that it runs into the next text
+        for j in range(1, k):
+            late = ends - j
+            begins[late[(late >= 0) & (late < len(begins))]] = False
+        p = np.flatnonzero(begins)
+        out = _shingles(h.view(np.uint64), p, k)
+        p, out = p[maybe[out & low]], out[maybe[out & low]]
+        short = np.flatnonzero((counts > 0) & (counts < k))
+        if len(short):  # a shorter text is one shingle
+            first = ends[short] - counts[short]
+            ok = np.array([whole[f:e].all() for f, e in zip(first, ends[short])])
+            one = [_shingles(h.view(np.uint64), np.array([f]), int(e - f))[0] for f, e in zip(first[ok], ends[short][ok])]
+            p, out = np.append(p, first[ok]), np.append(out, np.array(one, np.int64))
+            by = np.argsort(p, kind="stable")
+            p, out = p[by], out[by]
+        at = np.searchsorted(keys, out).clip(0, len(keys) - 1)
+        hit = keys[at] == out
+        return p[hit], at[hit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in ws.slices(batches, 512):
-            ids, out_id, out_s, out_p, counts = b.column(0).to_pylist(), [], [], [], []
-            for i, t in zip(ids, b.column(1).to_pylist()):
-                h = shingle_hashes(word_list(t), items.k)
-                if not len(h):
-                    continue
-                at = np.searchsorted(keys, h).clip(0, len(keys) - 1)
-                p = np.flatnonzero(keys[at] == h)
-                if len(p):
-                    out_id.append(i), out_s.append(at[p]), out_p.append(p), counts.append(len(p))
-            if out_id:
-                c = np.array(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_id, pa.int64()), ws.list_array(np.concatenate(out_s).astype(np.int32), c), ws.list_array(np.concatenate(out_p).astype(np.int32), c)], ["doc_id", "shingle", "position"]
-                )
+            words: list[str] = []
+            counts = np.zeros(b.num_rows, np.int64)
+            for i, t in enumerate(b.column(1).to_pylist()):
+                found = word_list(t)
+                counts[i] = len(found)
+                words += found
+            p, at = places(words, counts)
+            ends = np.cumsum(counts)
+            doc = np.searchsorted(ends, p, "right")
+            c = np.bincount(doc, minlength=len(counts))
+            some = np.flatnonzero(c)
+            if len(some):
+                p = p - (ends - counts)[doc]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(some)), ws.list_array(at.astype(np.int32), c[some]), ws.list_array(p.astype(np.int32), c[some])], ["doc_id", "shingle", "position"])
 
     return run
 
@@ -117,10 +158,9 @@ def _windows(at: list[int], shingles: list[int], cover: dict[int, int], least: f
     """
     masks: dict[int, int] = {}
     for p, x in zip(at, shingles):
-        k, m = p // span, cover[x]
-        masks[k] = masks.get(k, 0) | m
-        masks[k - 1] = masks.get(k - 1, 0) | m
-    spans = sorted({k + j for k, m in masks.items() if m.bit_count() >= least for j in (0, 1)})
+        k = p // span
+        masks[k] = masks.get(k, 0) | cover[x]
+    spans = sorted({b + j for k in masks for b in (k - 1, k) if (masks.get(b, 0) | masks.get(b + 1, 0)).bit_count() >= least for j in (0, 1)})
     out: list[tuple[int, int]] = []
     for k in spans:
         lo, hi = bisect_left(at, k * span), bisect_left(at, (k + 1) * span)
@@ -154,26 +194,34 @@ def _candidates(items: ItemSet, df: np.ndarray, share: float, window: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for i, s, p in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                s, p = s.values.to_numpy(), p.values.to_numpy()
+            lists = b.column(1)
+            offsets, flat, spots = lists.offsets.to_numpy().tolist(), lists.values.to_numpy(), b.column(2).values.to_numpy()
+            for i, lo, hi in zip(b.column(0).to_pylist(), offsets, offsets[1:]):
+                s, p = flat[lo:hi], spots[lo:hi]
                 if not flags[s].any():
                     continue
                 size = first[s + 1] - first[s]
                 x = np.arange(int(size.sum())) + np.repeat(first[s] - (np.cumsum(size) - size), size)
                 n = item[x]
                 # length bound, and a shingle of the item's prefix
-                enough = (np.bincount(n, minlength=len(needs)) >= needs) & (np.bincount(n[asks[x]], minlength=len(needs)) > 0)
+                enough = np.bincount(n, minlength=len(needs)) >= needs
                 if not enough.any():
                     continue
-                covered = np.zeros((len(needs), width), bool)
-                for j in range(items.k):
-                    covered[n, place[x] + j] = True
-                enough &= covered.sum(axis=1) >= covers
-                if not enough.any():
+                enough &= np.bincount(n[asks[x]], minlength=len(needs)) > 0
+                some = np.flatnonzero(enough)
+                if not len(some):
                     continue
-                kept = enough[n]
-                hit = np.repeat(np.arange(len(s)), size)[kept]
+                kept = np.flatnonzero(enough[n])
                 n = n[kept]
+                row = (np.cumsum(enough) - 1)[n] * width + place[x[kept]]
+                covered = np.zeros(len(some) * width, bool)
+                for j in range(items.k):
+                    covered[row + j] = True
+                enough[some] = covered.reshape(len(some), width).sum(axis=1) >= covers[some]
+                still = enough[n]
+                if not still.any():
+                    continue
+                n, hit = n[still], np.repeat(np.arange(len(s)), size)[kept[still]]
                 order = np.argsort(n, kind="stable")
                 n, hit = n[order], hit[order]
                 cuts = np.flatnonzero(np.diff(n)) + 1
@@ -210,6 +258,43 @@ def in_order(masks: Iterable[int], n: int) -> int:
     return n - v.bit_count()
 
 
+def _pieces(masks: list[int | None], least: int) -> int:
+    """The places of the item, as bits, that stand in some piece of ``least`` words or more.
+
+    ``masks``: the places of each word of the text in the item.  Level r of a word
+    holds the places at which r words of a piece end (or, from behind, begin).
+    """
+
+    def levels(rows: list[int | None], back: bool) -> list[list[int]]:
+        out: list[list[int]] = []
+        one: list[int] = []
+        two: list[int] = []
+        for m in rows:
+            now: list[int] = []
+            if m:
+                now.append(m)
+                for u, v in zip_longest(one[: least - 1], two[: least - 1], fillvalue=0):
+                    u |= v
+                    m &= u >> 1 | u >> 2 if back else u << 1 | u << 2
+                    if not m:
+                        break
+                    now.append(m)
+            out.append(now)
+            one, two = now, one
+        return out
+
+    ahead = levels(masks, False)
+    if not any(len(x) >= least for x in ahead):
+        return 0
+    behind = levels(masks[::-1], True)[::-1]
+    held = 0
+    for x, y in zip(ahead, behind):
+        if len(x) + len(y) > least:
+            for r in range(max(1, least + 1 - len(y)), min(least, len(x)) + 1):
+                held |= x[r - 1] & y[least - r]
+    return held
+
+
 def _greedy(item: list[str], part: list[str], least: int) -> int:
     total, piece, last = 0, 0, None
     for m in SequenceMatcher(None, item, part, autojunk=False).get_matching_blocks():
@@ -260,7 +345,7 @@ def carried_share(item: list[str], text: list[str], window: float = WINDOW, floo
 
     Runs that a single changed word parts are one piece; pieces of RUN_WORDS
     equal words count.  Windows whose longest common subsequence is below
-    ``floor`` of the item are left out: they cannot reach it.  ``at`` has the
+    ``floor`` of the item, or whose pieces hold less of it, are left out: they cannot reach it.  ``at`` has the
     item's ``word_masks``, where known.
     """
     best, n = 0, len(item)
@@ -273,7 +358,7 @@ def carried_share(item: list[str], text: list[str], window: float = WINDOW, floo
     found = list(map(at.get, text))
     masks = list(filter(None, found))
     # nor can any part of the text where the whole stays below
-    if len(masks) < floor * n or in_order(masks, n) < floor * n:
+    if len(masks) < floor * n or reduce(or_, masks, 0).bit_count() < floor * n or in_order(masks, n) < floor * n:
         return 0.0
     places = [k for k, m in enumerate(found) if m]
     for start in range(0, max(1, len(text) - size + step), step):
@@ -283,6 +368,9 @@ def carried_share(item: list[str], text: list[str], window: float = WINDOW, floo
         bound = in_order(masks[lo:hi], n)
         if bound <= best or bound < floor * n:
             continue
+        # both alignments hold words of pieces alone
+        if floor and _pieces(found[start : start + size], least).bit_count() < floor * n:
+            continue
         part = text[start : start + size]
         best = max(best, _greedy(item, part, least))
         if best < floor * n:  # the greedy blocks may miss the best alignment

@@ -348,6 +348,46 @@ def test_leaks_with_every_few_words_changed(spark, work):
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
 
 
+def test_alignment_only_where_pieces_can_hold_enough(monkeypatch):
+    # all words of the item in order, but two changed words after every five: no piece of seven
+    item = [f"v{k}" for k in range(60)]
+    text = [w for k, v in enumerate(item) for w in ([v, "x", "y"] if k % 5 == 4 else [v])]
+    assert leakage.in_order([1 << item.index(w) for w in text if w in item], 60) == 60
+    ran = []
+    plain = leakage._aligned
+    monkeypatch.setattr(leakage, "_aligned", lambda *a: ran.append(a) or plain(*a))
+    assert leakage.carried_share(item, text, floor=0.5) == 0 and not ran
+    assert leakage.carried_share(item, item[:29] + ["x"] + item[30:], floor=0.5) == 59 / 60
+
+
+def test_piece_bound_never_below_the_alignment():
+    rng = random.Random(77)
+    for _ in range(300):
+        item = [f"v{rng.randrange(12)}" for _ in range(rng.randrange(1, 30))]
+        text = [f"v{rng.randrange(14)}" if rng.random() < 0.3 else w for w in item[rng.randrange(len(item)) :] + item]
+        least = rng.choice((1, 2, 3, 5, 7))
+        at = leakage.word_masks(item)
+        held = leakage._pieces([at.get(w) for w in text], least).bit_count()
+        exact = leakage._aligned(item, text, least)
+        assert held >= exact >= leakage._greedy(item, text, least) and (held == 0) == (exact == 0)
+
+
+def test_hits_equal_the_shingles_of_each_text():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    items = leakage.ItemSet([(k, " ".join(f"v{rng.randrange(9)}" for _ in range(n))) for k, n in enumerate((1, 2, 3, 12, 12))])
+    texts = [" ".join(f"v{rng.randrange(11)}" for _ in range(rng.randrange(0, 14))) for _ in range(400)] + ["", "?", "v1", "v1 v2", items.words[0][0], " ".join(items.words[1])]
+    want = {}
+    for i, t in enumerate(texts):
+        h = leakage.shingle_hashes(leakage.word_list(t))
+        want |= {i: [(int(np.searchsorted(items.keys, x)), p) for p, x in enumerate(h) if x in items.keys]}
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    got = {r["doc_id"]: list(zip(r["shingle"], r["position"])) for b in leakage._hits(items)(iter([batch])) for r in b.to_pylist()}
+    assert got == {i: x for i, x in want.items() if x} and {404, 405} <= set(got)
+
+
 def test_statistics_of_odd_texts():
     for text in (None, "", "   ", "\n", "x", "。" * 10, "|" * 5000, "word " * 50_000):
         s = quality.statistics(text)
